@@ -6,17 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
+def _schema(**fields: str) -> T.StructType:
+    schema = T.StructType()
+    for name, type_name in fields.items():
+        schema.add(name, type_name)
+    return schema
+
+
 # Field names and types of the domain records.
-ORDER_SCHEMA = T.StructType.fromDDL(
-    "orderId STRING, customerId STRING, product STRING, quantity INT, price DECIMAL(10,2), "
-    "status STRING, createdAt TIMESTAMP"
+ORDER_SCHEMA = _schema(
+    orderId="string",
+    customerId="string",
+    product="string",
+    quantity="integer",
+    price="decimal(10,2)",
+    status="string",
+    createdAt="timestamp",
 )
-USER_SCHEMA = T.StructType.fromDDL("userId STRING, name STRING, email STRING, department STRING")
-ORDER_V1 = T.StructType.fromDDL(
-    "orderId STRING, customerId STRING, product STRING, quantity INT, totalPrice DOUBLE, "
-    "status STRING, timestamp BIGINT"
+USER_SCHEMA = _schema(userId="string", name="string", email="string", department="string")
+ORDER_V1 = _schema(
+    orderId="string",
+    customerId="string",
+    product="string",
+    quantity="integer",
+    totalPrice="double",
+    status="string",
+    timestamp="long",
 )
-ORDER_V2 = T.StructType(ORDER_V1.fields + [T.StructField("shippingAddress", T.StringType())])
+ORDER_V2 = T.StructType([*ORDER_V1.fields, T.StructField("shippingAddress", T.StringType())])
 
 # Enum symbols.
 ORDER_STATUS = ["PENDING", "CONFIRMED", "SHIPPED", "DELIVERED", "CANCELLED"]

@@ -148,7 +148,7 @@ rec AS (
     CASE WHEN event_id % 10 = 0 THEN substr(props, 1, length(props) - 1) ELSE props END AS body,
     '[' || CASE event_type WHEN 'purchase' THEN 'ORDER' WHEN 'error' THEN 'ALERT' ELSE 'NOTIFICATION' END
       || '] Region: ' || CASE event_id % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'EU' ELSE 'ASIA' END
-      || ' | Message #' || event_id || ' | Timestamp: ' || epoch_ms(ts) AS txt
+      || ' | Message #' || event_id || ' | Timestamp: ' || (epoch_us(ts) // 1000) AS txt
   FROM events
 )"""
 

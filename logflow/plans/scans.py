@@ -259,7 +259,7 @@ def skip_poison_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "record_metadata",
     with_log(
-        """SELECT topic, part AS "partition", off AS "offset", epoch_ms(ts) AS ts_ms,
+        """SELECT topic, part AS "partition", off AS "offset", (epoch_us(ts) // 1000) AS ts_ms,
         CASE WHEN event_id % 11 <> 0 THEN strlen(key) ELSE -1 END AS key_size, strlen(value) AS value_size
         FROM log"""
     ),

@@ -214,6 +214,8 @@ def committed_transactions(log: DataFrame, txn_log: DataFrame) -> DataFrame:
 
 # --- files ------------------------------------------------------------------------------------
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 CODECS = ["none", "gzip", "snappy", "lz4", "zstd"]
 
 
@@ -235,6 +237,8 @@ def codec_report(df: DataFrame, root: str, codecs: list[str] | None = None) -> D
 
 def write_files(df: DataFrame, path: str, fmt: str) -> DataFrame:
     """Write as json, csv or parquet and return a reader with the same schema."""
-    options = {"header": "true", "nullValue": "\\N", "emptyValue": ""} if fmt == "csv" else {}
+    options = {} if fmt == "parquet" else {"timestampFormat": MICROS}
+    if fmt == "csv":
+        options |= {"header": "true", "nullValue": "\\N", "emptyValue": ""}
     df.write.format(fmt).options(**options).save(path)
     return df.sparkSession.read.format(fmt).schema(df.schema).options(**options).load(path)
