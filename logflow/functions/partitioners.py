@@ -40,14 +40,14 @@ def by_region(n: int, key: str = "key") -> Column:
     return rule.otherwise(F.lit(OTHER_REGION % n)).cast("int")
 
 
+def turn(position: Column, n: int, batch: int = 1) -> Column:
+    """Partition of the record at a 0-based position; ``batch`` neighbours stay together."""
+    return F.pmod(F.floor(position / batch), F.lit(n)).cast("int")
+
+
 def round_robin(
     df: DataFrame, n: int, order: list[str], batch: int = 1, width: int = SLICE_WIDTH
 ) -> DataFrame:
     """Spread records evenly in ``order``; ``batch`` > 1 keeps that many neighbours together."""
     ranked = rank_by(df, [], order, "_position", width)
-    turn = F.expr(f"_position div {batch}")
-    return ranked.withColumn("partition", F.pmod(turn, F.lit(n)).cast("int")).drop("_position")
-
-
-def partitioned(df: DataFrame, chooser: Column) -> DataFrame:
-    return df.withColumn("partition", chooser)
+    return ranked.withColumn("partition", turn(F.col("_position"), n, batch)).drop("_position")

@@ -112,10 +112,17 @@ LAG_BANDS = [
 
 
 def lag_bands(df: DataFrame, lag: str = "lag") -> DataFrame:
-    """Range-join every lag with the four-row band table: adds ``action``."""
-    bands = df.sparkSession.createDataFrame(LAG_BANDS, "_low BIGINT, _high BIGINT, action STRING")
-    inside = (F.col(lag) >= F.col("_low")) & (F.col("_high").isNull() | (F.col(lag) < F.col("_high")))
-    return df.join(F.broadcast(bands), inside, "left").drop("_low", "_high")
+    """Add the ``action`` of the band each lag falls into.
+
+    The bands are few and fixed, so this is an expression over the row and not a range join.
+    """
+    action = F.lit(None).cast("string")
+    for low, high, name in LAG_BANDS:
+        inside = F.col(lag) >= low
+        if high is not None:
+            inside &= F.col(lag) < high
+        action = F.when(inside, name).otherwise(action)
+    return df.withColumn("action", action)
 
 
 def lag_summary(lags: DataFrame) -> DataFrame:

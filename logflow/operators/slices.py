@@ -119,16 +119,16 @@ def exact_quantiles(
     key nor a wide value range ends in one task's memory.
     """
     rows = df.where(F.col(value).isNotNull())
+    if not keys:  # one group: the same joins and sums, over a constant key
+        whole = exact_quantiles(rows.withColumn("_all", F.lit(0)), ["_all"], value, probabilities, width)
+        return whole.drop("_all")
     counts = rows.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     cumulative = running_totals(counts, keys, [value], {"_upto": F.col("_n")}, width)
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_total"))
-    if keys:
-        same = [cumulative[k].eqNullSafe(sizes[k]) for k in keys]
-        joined = cumulative.join(sizes, same).select(
-            *[cumulative[k] for k in keys], value, "_upto", "_total"
-        )
-    else:
-        joined = cumulative.crossJoin(F.broadcast(sizes))  # one row
+    same = [cumulative[k].eqNullSafe(sizes[k]) for k in keys]
+    joined = cumulative.join(sizes, same).select(
+        *[cumulative[k] for k in keys], value, "_upto", "_total"
+    )
     picks = []
     for name, p in probabilities.items():
         spot = (F.col("_total") - 1) * F.lit(p)

@@ -101,7 +101,7 @@ def lag_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     "lag_summary",
     with_log(
         """SELECT consumer_group, sum(lag)::BIGINT AS total_lag, max(lag) AS max_lag,
-        arg_max(part, lag * 10 - part) AS worst_partition FROM lags GROUP BY consumer_group""",
+        arg_max(part, lag * 1000 - part) AS worst_partition FROM lags GROUP BY consumer_group""",
         BOUNDS,
         COMMITS,
         LAGS,

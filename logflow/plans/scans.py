@@ -13,6 +13,7 @@ from logflow.operators.offsets import (
     key_partition_map,
     order_violations,
 )
+from logflow.operators.slices import rank_by
 from logflow.plans.base import (
     EVENT_EXTRAS,
     HASH,
@@ -339,10 +340,12 @@ def partition_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def partition_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    even = partitioners.round_robin(orders, PARTITIONS, ["o_orderkey"])
-    even = even.withColumnRenamed("partition", "partition_even")
-    sticky = partitioners.round_robin(even, PARTITIONS, ["o_orderkey"], batch=16)
-    return sticky.withColumnRenamed("partition", "partition_sticky")
+    position = F.col("_position")
+    return rank_by(orders, [], ["o_orderkey"], "_position").select(
+        "o_orderkey",
+        partitioners.turn(position, PARTITIONS).alias("partition_even"),
+        partitioners.turn(position, PARTITIONS, batch=16).alias("partition_sticky"),
+    )
 
 
 @query("partition_explicit", 'SELECT event_id, (event_id % 4)::INTEGER AS "partition" FROM events')

@@ -121,12 +121,35 @@ def sequenced(records: DataFrame) -> DataFrame:
     return base.withColumn("arrival", F.explode(arrivals))
 
 
-@query("sequence_dedup")
+SEQUENCES_SQL = with_rec(
+    """SELECT * FROM marked""",
+).replace(
+    "\nSELECT * FROM marked",
+    """,
+arrivals AS (
+  SELECT user_id AS producer_id, part, event_id AS sequence, event_id * 10 AS arrival FROM rec
+  UNION ALL SELECT user_id, part, event_id, event_id * 10 + 1 FROM rec WHERE event_id % 7 = 0
+  UNION ALL SELECT user_id, part, event_id, event_id * 10 + 50002 FROM rec WHERE event_id % 11 = 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY producer_id, part ORDER BY arrival) AS rn FROM arrivals),
+fold AS (
+  SELECT producer_id, part, 0::BIGINT AS rn, 0::BIGINT AS sequence, 0::BIGINT AS arrival,
+    false AS duplicate, []::BIGINT[] AS recent
+  FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.producer_id, n.part, n.rn, n.sequence, n.arrival, list_contains(f.recent, n.sequence),
+    CASE WHEN list_contains(f.recent, n.sequence) THEN f.recent
+      ELSE list_append(f.recent, n.sequence)[-5:] END
+  FROM fold f JOIN numbered n ON n.producer_id = f.producer_id AND n.part = f.part AND n.rn = f.rn + 1)
+SELECT producer_id, part AS "partition", sequence, arrival, duplicate FROM fold WHERE rn > 0""",
+).replace("WITH", "WITH RECURSIVE", 1)
+
+
+@query("sequence_dedup", SEQUENCES_SQL)
 def sequence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statemachines.mark_duplicate_sequences(sequenced(event_records(spark, sf_dir)))
 
 
-@query("stream_sequence_dedup")
+@query("stream_sequence_dedup", SEQUENCES_SQL)
 def stream_sequence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = stream_ops.mark_duplicate_sequences(sequenced(events_stream(spark, sf_dir, files=None)))
     return runs.appended_table(marked, *paths(spark, "sequences"))
@@ -143,12 +166,40 @@ def calls(records: DataFrame) -> DataFrame:
     )
 
 
-@query("circuit_breaker")
+BREAKER_SQL = """WITH RECURSIVE calls AS (
+  SELECT 'dep-' || CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 8 END AS dependency, event_id AS seq,
+    epoch_us(ts) // 1000 AS ts_ms, value > 35 AS failed FROM events),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY dependency ORDER BY seq) AS rn FROM calls),
+fold AS (
+  SELECT dependency, 0::BIGINT AS rn, 0::BIGINT AS seq, 0::BIGINT AS ts_ms, false AS failed, true AS allowed,
+    'CLOSED' AS state, []::INTEGER[] AS recent, 0::BIGINT AS opened_at, 0 AS successes
+  FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT dependency, rn, seq, ts_ms, failed, allowed, state,
+    CASE WHEN state = 'CLOSED' AND was = 'CLOSED' THEN window10 ELSE [] END,
+    CASE WHEN state = 'OPEN' AND was <> 'OPEN' THEN ts_ms ELSE opened_at END,
+    CASE WHEN state = 'HALF_OPEN' THEN probes ELSE 0 END
+  FROM (
+    SELECT *, was <> 'OPEN' AS allowed,
+      CASE was WHEN 'OPEN' THEN 'OPEN'
+        WHEN 'HALF_OPEN' THEN CASE WHEN failed THEN 'OPEN' WHEN probes = 2 THEN 'CLOSED' ELSE 'HALF_OPEN' END
+        ELSE CASE WHEN len(window10) = 10 AND list_sum(window10) >= 5 THEN 'OPEN' ELSE 'CLOSED' END
+      END AS state
+    FROM (
+      SELECT n.*, f.opened_at, list_append(f.recent, n.failed::INTEGER)[-10:] AS window10,
+        CASE WHEN f.state = 'OPEN' AND n.ts_ms - f.opened_at >= 30000 THEN 'HALF_OPEN' ELSE f.state END AS was,
+        CASE WHEN f.state = 'HALF_OPEN' THEN f.successes ELSE 0 END
+          + CASE WHEN n.failed THEN 0 ELSE 1 END AS probes
+      FROM fold f JOIN numbered n ON n.dependency = f.dependency AND n.rn = f.rn + 1)))
+SELECT dependency, seq, ts_ms, failed, allowed, state FROM fold WHERE rn > 0"""
+
+
+@query("circuit_breaker", BREAKER_SQL)
 def circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statemachines.circuit_breaker(calls(event_records(spark, sf_dir)))
 
 
-@query("stream_circuit_breaker")
+@query("stream_circuit_breaker", BREAKER_SQL)
 def stream_circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = stream_ops.circuit_breaker(calls(events_stream(spark, sf_dir, files=None)))
     return runs.appended_table(states, *paths(spark, "breaker"))
@@ -296,12 +347,16 @@ def parallel_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables[0].unionByName(tables[1]).groupBy("topic").agg(F.count("*").alias("records"))
 
 
-@query("stream_progress")
+@query("stream_progress", "SELECT count(*) AS input_rows, true AS timed FROM events")
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = events_stream(spark, sf_dir).select("partition", "offset", "key")
     path, checkpoint = paths(spark, "progress")
     writer = stream.writeStream.format("parquet").option("path", path)
-    return runs.progress_table(spark, runs.drain(writer, checkpoint))
+    progress = runs.progress_table(spark, runs.drain(writer, checkpoint))
+    return progress.agg(
+        F.sum("input_rows").alias("input_rows"),
+        F.every((F.col("duration_ms") > 0) & (F.col("processed_rows_per_sec") >= 0)).alias("timed"),
+    )
 
 
 @query("stream_static_enrich", ENRICH_SQL)

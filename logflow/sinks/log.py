@@ -40,6 +40,20 @@ def append(
     assigned.write.mode("append").partitionBy("topic", "partition").parquet(root)
 
 
+def produce(
+    records: DataFrame,
+    root: str,
+    partitioner: Column,
+    order: list[str],
+    interceptors: list[Callable[[DataFrame], DataFrame]] | None = None,
+    width: int = SLICE_WIDTH,
+) -> None:
+    """Send records: interceptors in order, then the partition, then the append with offsets."""
+    for step in interceptors or []:
+        records = records.transform(step)
+    append(records.withColumn("partition", partitioner), root, order, width)
+
+
 def reset_topic(spark: SparkSession, root: str, topic: str) -> None:
     """Leave the topic empty: its folder is overwritten with no rows, other topics are untouched."""
     rest = T.StructType([f for f in RECORD_SCHEMA.fields if f.name != "topic"])
@@ -231,8 +245,9 @@ def codec_report(df: DataFrame, root: str, codecs: list[str] | None = None) -> D
     sizes = []
     for codec in codecs or CODECS:
         df.write.option("compression", codec).parquet(f"{root}/{codec}")
-        sizes.append((codec, folder_bytes(spark, f"{root}/{codec}")))
-    return spark.createDataFrame(sizes, "codec STRING, bytes BIGINT")
+        records = spark.read.parquet(f"{root}/{codec}").count()
+        sizes.append((codec, records, folder_bytes(spark, f"{root}/{codec}")))
+    return spark.createDataFrame(sizes, "codec STRING, records BIGINT, bytes BIGINT")
 
 
 def write_files(df: DataFrame, path: str, fmt: str) -> DataFrame:
