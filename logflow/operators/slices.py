@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Order-column span of one slice.  A unique id column bounds a slice to this many rows.
-SLICE_WIDTH = 1 << 18
+SLICE_WIDTH = 1 << 16
 
 #: Rows of one group handled together by the look-back windows.
-BLOCK_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 15
 
 #: Rows without an order value sort first, as ascending order does.
 NULL_SLICE = -(1 << 62)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logflow.operators.slices import rank_by
+from logflow.operators.slices import SLICE_WIDTH, rank_by
 from logflow.records import RECORD_SCHEMA
 
 #: Above this many positions a join replaces the pushed-down filter.
@@ -144,7 +144,7 @@ def resume(log: DataFrame, commits: DataFrame, group: str, policy: str = "earlie
     return from_positions(log, start_positions(log, commits, group, policy))
 
 
-def polls(log: DataFrame, max_records: int = 500, width: int = 1 << 18) -> DataFrame:
+def polls(log: DataFrame, max_records: int = 500, width: int = SLICE_WIDTH) -> DataFrame:
     """Cut every partition into polls of at most ``max_records``: adds ``poll``."""
     ranked = rank_by(log, ["topic", "partition"], ["offset"], "_position", width)
     return ranked.withColumn("poll", F.expr(f"_position div {max_records}")).drop("_position")

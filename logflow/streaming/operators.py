@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,13 +13,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from logflow.functions.parsing import parse_action
 from logflow.operators.metrics import balance_delta
 from logflow.operators.statemachines import (
-    BREAKER_DDL,
-    BREAKER_START,
-    SEQUENCE_DDL,
-    Step,
-    _pack,
-    breaker_step,
-    sequence_step,
+    BREAKER,
+    BREAKER_COLUMNS,
+    SEQUENCE_COLUMNS,
+    SEQUENCES,
+    Machine,
+    advance,
+    pack,
 )
 
 
@@ -49,7 +50,6 @@ def _windowed(stream, window, delay, aggregates, keys, ts) -> DataFrame:
     return grouped.select(F.col("w.start").alias("window_start"), *grouped.columns[1:])
 
 
-
 def balances(stream: DataFrame) -> DataFrame:
     """Balance per key as running state."""
     return parse_action(stream).groupBy("key").agg(
@@ -62,37 +62,36 @@ def dedup(stream: DataFrame, key: str, delay: str, ts: str = "timestamp") -> Dat
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def stateful(
-    stream: DataFrame, keys: list[str], order: str, step: Step, initial, outputs: str
-) -> DataFrame:
+def stateful(stream: DataFrame, keys: list[str], order: str, machine: Machine) -> DataFrame:
     """Run a state machine per key over the stream; the state lives in the state store.
 
     Rows of a key are put in order inside each micro-batch, whose size ``maxFilesPerTrigger`` or
     ``maxBytesPerTrigger`` bounds.
     """
 
-    def advance(_key, chunks: Iterator[pd.DataFrame], state: GroupState):
-        import json
-
+    def update(_key, chunks: Iterator[pd.DataFrame], state: GroupState):
         rows = pd.concat(list(chunks), ignore_index=True).sort_values(order, kind="stable")
-        before = json.loads(state.get[0]) if state.exists else initial
-        out, after = step(rows, before)
-        state.update((_pack(after),))
+        before = json.loads(state.get[0]) if state.exists else machine.initial
+        out, after = advance(rows, before, machine)
+        state.update((pack(after),))
         yield out
 
     return stream.groupBy(*keys).applyInPandasWithState(
-        advance, outputs, "state STRING", "append", GroupStateTimeout.NoTimeout
+        update,
+        machine.output_schema(stream.schema),
+        "state STRING",
+        "append",
+        GroupStateTimeout.NoTimeout,
     )
 
 
 def mark_duplicate_sequences(stream: DataFrame) -> DataFrame:
-    needed = stream.select("producer_id", "partition", "sequence", "arrival")
-    return stateful(needed, ["producer_id", "partition"], "arrival", sequence_step, [], SEQUENCE_DDL)
+    rows = stream.select(*SEQUENCE_COLUMNS)
+    return stateful(rows, ["producer_id", "partition"], "arrival", SEQUENCES)
 
 
 def circuit_breaker(stream: DataFrame) -> DataFrame:
-    needed = stream.select("dependency", "seq", "ts_ms", "failed")
-    return stateful(needed, ["dependency"], "seq", breaker_step, BREAKER_START, BREAKER_DDL)
+    return stateful(stream.select(*BREAKER_COLUMNS), ["dependency"], "seq", BREAKER)
 
 
 def split_batches(
