@@ -254,6 +254,6 @@ def write_files(df: DataFrame, path: str, fmt: str) -> DataFrame:
     """Write as json, csv or parquet and return a reader with the same schema."""
     options = {} if fmt == "parquet" else {"timestampFormat": MICROS}
     if fmt == "csv":
-        options |= {"header": "true", "nullValue": "\\N", "emptyValue": ""}
+        options |= {"header": "true", "nullValue": "\\N"}
     df.write.format(fmt).options(**options).save(path)
     return df.sparkSession.read.format(fmt).schema(df.schema).options(**options).load(path)
