@@ -140,17 +140,16 @@ def lag_trend(lag_per_minute: DataFrame, run: int = 5) -> DataFrame:
     Input is one row per minute (``minute`` as epoch minutes, ``lag``), already aggregated.
     """
 
-    def steps(w):
+    def step(w):
         return {"_step": F.col("lag") - F.lag("lag").over(w)}
 
-    def alerts(w):
+    def alert(w):
         last = w.rowsBetween(-(run - 1), 0)
         return {
             "growing_alert": (F.min("_step").over(last) > 0) & (F.count("_step").over(last) == run)
         }
 
-    stepped = over_last_rows(lag_per_minute, [], ["minute"], 1, steps)
-    flagged = over_last_rows(stepped, [], ["minute"], run - 1, alerts)
+    flagged = over_last_rows(lag_per_minute, [], ["minute"], run, [step, alert])
     trend = (
         F.when(F.col("lag") == 0, "zero")
         .when(F.col("_step") > 0, "growing")

@@ -64,6 +64,72 @@ def running_totals(
     )
 
 
+def running_since(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    restart: Column,
+    sums: dict[str, Column],
+    width: int = SLICE_WIDTH,
+) -> DataFrame:
+    """Running sums that start over at every row where ``restart`` holds (that row included).
+
+    A slice hands on what it summed since its last restart; a later slice adds it up to its own
+    first restart.
+    """
+    group, piece, stretch = "_group", "_slice", "_stretch"
+    local = {name: f"_local_{name}" for name in sums}
+    start = {name: f"_start_{name}" for name in sums}
+    inside = (
+        Window.partitionBy(group, piece)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    since = (
+        Window.partitionBy(group, piece, stretch)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    sliced = (
+        df.select(
+            "*",
+            (F.struct(*keys) if keys else F.lit(0)).alias(group),
+            F.coalesce(F.expr(f"`{order[0]}` div {width}"), F.lit(NULL_SLICE)).alias(piece),
+            restart.cast("bigint").alias("_restart"),
+            *[expr.alias(local[name]) for name, expr in sums.items()],
+        )
+        .withColumn(stretch, F.sum("_restart").over(inside))
+    )
+    # What each slice hands on: its last stretch, which is all of it when nothing restarted.
+    tails = (
+        sliced.groupBy(group, piece, stretch)
+        .agg(*[F.sum(local[n]).alias(start[n]) for n in sums])
+        .groupBy(group, piece)
+        .agg(
+            F.max(stretch).alias("_restarts"),
+            *[F.max_by(start[n], stretch).alias(start[n]) for n in sums],
+        )
+    )
+    by_slice = Window.partitionBy(group).orderBy(piece)
+    upto = by_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    era = tails.withColumn("_era", F.count_if(F.col("_restarts") > 0).over(upto))
+    in_era = Window.partitionBy(group, "_era").orderBy(piece)
+    carried = era.withColumns(
+        {start[n]: F.sum(start[n]).over(in_era.rowsBetween(Window.unboundedPreceding, 0)) for n in sums}
+    )
+    starts = carried.select(
+        group,
+        piece,
+        *[F.coalesce(F.lag(start[n]).over(by_slice), F.lit(0)).alias(start[n]) for n in sums],
+    )
+    summed = sliced.withColumns({local[n]: F.sum(local[n]).over(since) for n in sums})
+    carry = F.col(stretch) == 0
+    return summed.join(starts, [group, piece]).select(
+        *df.columns,
+        *[(F.col(local[n]) + F.when(carry, F.col(start[n])).otherwise(0)).alias(n) for n in sums],
+    )
+
+
 def lookback_blocks(df: DataFrame, rank: str, lookback: int, block: int = BLOCK_ROWS) -> DataFrame:
     """Give every row a ``_block``, and copy the last ``lookback`` rows of a block into the next one.
 
@@ -98,12 +164,14 @@ def over_last_rows(
     """Window expressions that look back at most ``lookback`` rows, safe for hot keys.
 
     ``outputs(w)`` gets the window (partitioned and ordered, no frame) and returns name → Column.
+    A list of such functions is applied in turn, each over the columns of the one before; then
+    ``lookback`` must cover their look-backs together.
     """
     ranked = lookback_blocks(rank_by(df, keys, order, "_rank", width), "_rank", lookback, block)
     w = Window.partitionBy(*keys, "_block").orderBy("_rank")
-    return (
-        ranked.withColumns(outputs(w)).where(~F.col("_copy")).drop("_rank", "_block", "_copy")
-    )
+    for stage in outputs if isinstance(outputs, list) else [outputs]:
+        ranked = ranked.withColumns(stage(w))
+    return ranked.where(~F.col("_copy")).drop("_rank", "_block", "_copy")
 
 
 def exact_quantiles(

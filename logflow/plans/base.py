@@ -12,6 +12,7 @@ from logflow.functions.headers import make_headers
 from logflow.functions.parsing import text_record
 from logflow.records import as_records
 from logflow.scratch import fresh_dir
+from logflow.session import configure
 from logflow.sinks.log import append
 from logflow.sources.log import read_log
 
@@ -26,8 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
     def register(fn: Run) -> Run:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
+            return fn(configure(spark), sf_dir)
 
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")

@@ -4,19 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Large keyed state stays off the heap.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: ROCKSDB,  # large keyed state stays off the heap
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """What results and state size depend on: UTC, and a state store on disk unless one was chosen."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    chosen = spark.conf.get(STATE_STORE, "")
+    if not chosen or chosen.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and timing runs."""
     builder = (

@@ -35,6 +35,18 @@ def test_running_totals(skewed, width, keys):
     assert rows_of(got.select("id", "s", "n")) == rows_of(want.select("id", "s", "n"))
 
 
+@pytest.mark.parametrize("width", [10, 97, 1 << 18])
+@pytest.mark.parametrize("every", [3, 400, 5000])
+def test_running_since(skewed, width, every):
+    restart = F.col("id") % every == 0
+    got = slices.running_since(skewed, ["k"], ["id"], restart, {"s": F.col("v"), "n": F.lit(1)}, width)
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    epochs = skewed.withColumn("e", F.sum(restart.cast("int")).over(w))
+    v = Window.partitionBy("k", "e").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    want = epochs.withColumns({"s": F.sum("v").over(v), "n": F.count("*").over(v)})
+    assert rows_of(got.select("id", "s", "n")) == rows_of(want.select("id", "s", "n"))
+
+
 def test_running_totals_keep_rows_without_order_value(spark):
     df = spark.createDataFrame([("a", None), ("a", 3), ("a", 1)], "k STRING, id BIGINT")
     got = slices.rank_by(df, ["k"], ["id"], "r", width=2)
