@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from logflow.operators.slices import BLOCK_ROWS, SLICE_WIDTH, rank_by
 from logflow.scratch import materialize
+from logflow.session import ship_package
 
 LINK_DDL = "_group STRING, _block BIGINT, _state_in STRING, _state_out STRING"
 LINK_COLUMNS = ["_group", "_block", "_state_in", "_state_out"]
@@ -76,6 +77,7 @@ def run_machine(
 ) -> DataFrame:
     """Add the machine's outputs to every row, running it per key in ``order``."""
     spark = df.sparkSession
+    ship_package(spark)
     start = pack(machine.initial)
     ranked = rank_by(df, keys, order, "_rank", width).withColumns(
         {

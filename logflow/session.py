@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -26,6 +30,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application (two operators need it there)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="logflow-package-")) / "logflow"
+        archive = shutil.make_archive(str(target), "zip", package.parent, package.name)
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and timing runs."""
     builder = (

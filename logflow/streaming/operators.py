@@ -21,6 +21,7 @@ from logflow.operators.statemachines import (
     advance,
     pack,
 )
+from logflow.session import ship_package
 
 
 def tumbling(
@@ -76,6 +77,7 @@ def stateful(stream: DataFrame, keys: list[str], order: str, machine: Machine) -
         state.update((pack(after),))
         yield out
 
+    ship_package(stream.sparkSession)
     return stream.groupBy(*keys).applyInPandasWithState(
         update,
         machine.output_schema(stream.schema),
