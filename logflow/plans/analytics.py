@@ -11,9 +11,8 @@ from logflow.operators import eventsourcing as es
 from logflow.operators import joins, metrics, routing, schemas, windows
 from logflow.operators.offsets import consumer_lag, lag_bands, lag_summary, lag_trend
 from logflow.operators.slices import running_totals
-from logflow.plans.base import action, at, event_records, events_log, query, table, with_log, with_rec
+from logflow.plans.base import at, event_records, events_log, query, table, with_log, with_rec
 from logflow.plans.scans import BOUNDS, COMMITS, TOPICS, commits, topics_store
-from logflow.plans.sinks import checked_log
 from logflow.sources.log import scan
 
 # --- joins ------------------------------------------------------------------------------------

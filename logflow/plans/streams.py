@@ -23,18 +23,17 @@ from logflow.plans.analytics import (
 from logflow.plans.base import (
     EVENT_EXTRAS,
     event_records,
-    events_log,
     events_store,
     query,
     with_log,
     with_rec,
 )
 from logflow.plans.scans import topics_store
-from logflow.plans.sinks import DUP_EXTRAS, duplicates_store, txn_log_frames, txn_store, TXN, TXN_EXTRAS
+from logflow.plans.sinks import TXN, TXN_EXTRAS, DUP_EXTRAS, duplicates_store, txn_log_frames, txn_store
 from logflow.plans.values import ERROR_NAMES, ERROR_SQL, error_name
 from logflow.scratch import fresh_dir
 from logflow.sinks import log as sink
-from logflow.sources.log import read_log, stream_log
+from logflow.sources.log import stream_log
 from logflow.streaming import operators as stream_ops
 from logflow.streaming import runs
 

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from logflow.functions import errors as err
 from logflow.functions import headers as hdr
 from logflow.functions import parsing, payloads
-from logflow.operators.joins import not_seen  # noqa: F401  (re-exported for the examples)
 from logflow.plans.base import (
     at,
     event_records,
@@ -21,7 +20,7 @@ from logflow.plans.base import (
     with_rec,
 )
 from logflow.plans.scans import SUBSCRIBED_AT
-from logflow.sources.log import bounds, resume
+from logflow.sources.log import bounds, from_positions, start_positions
 
 
 def text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +58,6 @@ def _filtered_from(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
     nobody = spark.createDataFrame(
         [], "consumer_group STRING, topic STRING, partition INT, offset BIGINT"
     )
-    from logflow.sources.log import from_positions, start_positions
-
     starts = start_positions(log, nobody, "new", policy, subscribed)
     wanted = parsing.has_type("ORDER") & parsing.mentions("US")
     texts = from_positions(log, starts).withColumn("value", text_value())

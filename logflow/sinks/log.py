@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -68,8 +68,6 @@ def send_report(
 
     Only the ``first`` lowest offsets of a batch are ever put into an array.
     """
-    from pyspark.sql import Window
-
     tagged = outcomes.withColumns({"batch": batch, "_failed": failed})
     counts = tagged.groupBy("topic", "partition", "batch").agg(
         F.count("*").alias("sent"),

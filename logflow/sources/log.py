@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,8 +157,6 @@ def skip_offsets(log: DataFrame, bad: DataFrame) -> DataFrame:
 
 def first_k(log: DataFrame, k: int) -> DataFrame:
     """The first ``k`` records of each partition; tasks keep only ``k`` rows before the shuffle."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("topic", "partition").orderBy("offset")
     return log.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -33,9 +34,8 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_batches(spark: SparkSession, path: str, df_schema) -> DataFrame:
-    from pyspark.sql import types as T
-
+def read_batches(spark: SparkSession, path: str, df_schema: T.StructType) -> DataFrame:
+    """Rows of all batches written so far, with their ``batch``."""
     schema = T.StructType(list(df_schema.fields) + [T.StructField("batch", T.LongType())])
     return spark.read.schema(schema).parquet(path)
 
