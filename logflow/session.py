@@ -44,7 +44,12 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    memory: str = "8g",
+    settings: dict[str, str] | None = None,
+) -> SparkSession:
     """A local session for tests and timing runs."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -54,7 +59,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.python.unix.domain.socket.enabled", "true")
     )
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | (settings or {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

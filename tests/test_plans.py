@@ -43,13 +43,8 @@ def test_percentiles_pre_aggregate(spark):
     assert "partial_count" in plan(metrics.latency_percentiles(df, "k"))
 
 
-def test_scratch_follows_the_cluster_setting(spark, tmp_path):
-    assert scratch.scratch_root(spark).startswith("/")  # local session: a folder of this machine
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared/")
-    try:
-        assert scratch.scratch_root(spark) == f"{tmp_path}/shared"
-        kept = scratch.materialize(spark.range(5), "numbers")
-        assert kept.inputFiles()[0].startswith(f"file://{tmp_path}/shared/numbers-")
-        assert kept.count() == 5
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_follows_the_cluster_setting(spark, shared_dir):
+    assert scratch.scratch_root(spark) == shared_dir
+    kept = scratch.materialize(spark.range(5), "numbers")
+    assert kept.inputFiles()[0].startswith(f"file://{shared_dir}/numbers-")
+    assert kept.count() == 5
