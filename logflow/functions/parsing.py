@@ -42,7 +42,16 @@ TEXT_RECORD = r"^\[([^\]]*)\] Region: ([^|]*?) \| Message #(\d+) \| Timestamp: (
 
 
 def text_record(kind: Column, region: Column, number: Column, millis: Column) -> Column:
-    return F.format_string("[%s] Region: %s | Message #%d | Timestamp: %d", kind, region, number, millis)
+    return F.concat(
+        F.lit("["),
+        kind,
+        F.lit("] Region: "),
+        region,
+        F.lit(" | Message #"),
+        number.cast("string"),
+        F.lit(" | Timestamp: "),
+        millis.cast("string"),
+    )
 
 
 def parse_text_record(df: DataFrame, value: str = "value") -> DataFrame:

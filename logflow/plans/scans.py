@@ -52,7 +52,7 @@ from logflow.streaming.runs import appended_table
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    value = F.format_string("%s %d", "o_orderstatus", "o_orderkey")
+    value = F.concat_ws(" ", "o_orderstatus", F.col("o_orderkey").cast("string"))
     records = as_records(
         orders, "orders", F.col("o_custkey"), value, F.col("o_orderdate"), keep=["o_orderkey", "o_custkey"]
     )
@@ -65,7 +65,8 @@ def topics_store(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
         append(order_records(spark, sf_dir).drop("o_custkey"), path, ["o_orderkey"])
         items = table(spark, sf_dir, "lineitem")
-        value = F.format_string("%d:%d:%d", "l_linenumber", "l_partkey", "l_suppkey")
+        parts = ["l_linenumber", "l_partkey", "l_suppkey"]
+        value = F.concat_ws(":", *[F.col(c).cast("string") for c in parts])
         order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
         lines = as_records(items, "lineitem", F.col("l_orderkey"), value, F.col("l_shipdate"), keep=order)
         lines = lines.withColumn("partition", partitioners.by_key(PARTITIONS))

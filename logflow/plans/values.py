@@ -133,7 +133,7 @@ def parse_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     direction = F.when(F.col("o_orderkey") % 3 == 0, "credit").otherwise("debit")
     texts = table(spark, sf_dir, "orders").select(
         "o_custkey",
-        F.format_string("TXN:%s:%d", direction, F.floor("o_totalprice")).alias("value"),
+        F.concat_ws(":", F.lit("TXN"), direction, F.floor("o_totalprice").cast("string")).alias("value"),
     )
     return parsing.parse_transfer(texts).groupBy("o_custkey").agg(
         F.count("*").alias("transfers"), F.sum("signed_amount").alias("signed_sum")

@@ -68,10 +68,12 @@ def record_metadata(df: DataFrame) -> DataFrame:
 
 def describe() -> Column:
     """One line of text per record: the value and where it came from."""
-    return F.format_string(
-        "%s | Topic: %s | Partition: %d | Offset: %d",
-        F.col("value"),
+    return F.concat(
+        F.coalesce("value", F.lit("null")),
+        F.lit(" | Topic: "),
         F.col("topic"),
-        F.col("partition"),
-        F.col("offset"),
+        F.lit(" | Partition: "),
+        F.col("partition").cast("string"),
+        F.lit(" | Offset: "),
+        F.col("offset").cast("string"),
     )

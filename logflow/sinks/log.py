@@ -12,7 +12,7 @@ from pyspark.sql.utils import AnalysisException
 from logflow.operators.offsets import assign_offsets
 from logflow.operators.slices import SLICE_WIDTH
 from logflow.records import RECORD_SCHEMA
-from logflow.sources.log import bounds
+from logflow.sources.log import bounds, with_extras
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -29,13 +29,16 @@ def append(
     root: str,
     order: list[str],
     width: int = SLICE_WIDTH,
+    ends: DataFrame | None = None,
 ) -> None:
     """Append produced records (with ``partition`` set) to a log store; offsets continue per partition.
 
-    One writer per log at a time: the end offsets are read before the write.
+    One writer per log at a time: the end offsets are read before the write, from the offset column
+    of the store.  A writer that keeps them (topic, partition, end_offset) passes ``ends`` instead.
     """
     spark = records.sparkSession
-    ends = bounds(spark.read.parquet(root)) if exists(spark, root) else None
+    if ends is None and exists(spark, root):
+        ends = bounds(spark.read.schema(with_extras()).parquet(root))
     assigned = assign_offsets(records, order, ends, width=width)
     assigned.write.mode("append").partitionBy("topic", "partition").parquet(root)
 

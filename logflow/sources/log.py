@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from logflow.operators.slices import SLICE_WIDTH, rank_by
 from logflow.records import RECORD_SCHEMA
+from logflow.scratch import materialize
 
 #: Above this many positions a join replaces the pushed-down filter.
 MAX_INLINE_POSITIONS = 256
@@ -74,6 +75,11 @@ def _at(row) -> Column:
     return (F.col("topic") == row["topic"]) & (F.col("partition") == row["partition"])
 
 
+def _sized(positions: DataFrame) -> DataFrame:
+    """Positions as a written table, so that Spark's broadcast decision sees their true size."""
+    return materialize(positions, "positions")
+
+
 def from_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
     """Records at or after ``start`` of their (topic, partition).
 
@@ -84,7 +90,7 @@ def from_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
     if few is not None:
         here = [_at(r) & (F.col("offset") >= r["start"]) for r in few]
         return log.where(reduce(lambda a, b: a | b, here, F.lit(False)))
-    starts = positions.select("topic", "partition", "start")
+    starts = _sized(positions.select("topic", "partition", "start"))
     joined = log.join(starts, ["topic", "partition"]).where(F.col("offset") >= F.col("start"))
     return joined.select(*log.columns)
 
@@ -97,7 +103,7 @@ def with_position(df: DataFrame, positions: DataFrame, column: str, out: str) ->
         for r in few:
             value = F.when(_at(r), F.lit(r[column]).cast("bigint")).otherwise(value)
         return df.withColumn(out, value)
-    known = positions.select("topic", "partition", F.col(column).alias(out))
+    known = _sized(positions.select("topic", "partition", F.col(column).alias(out)))
     return df.join(known, ["topic", "partition"], "left")
 
 

@@ -113,6 +113,11 @@ def test_many_positions_use_a_join(spark, store, monkeypatch):
     more = records(spark, "audit", 60, 10)
     sink.append(more, store, ["id"])
     assert dense(source.read_log(spark, store))
+    monkeypatch.undo()
+    ends = source.bounds(source.scan(spark, store)).select("topic", "partition", "end_offset").collect()
+    known = spark.createDataFrame(ends, "topic STRING, partition INT, end_offset BIGINT")
+    sink.append(records(spark, "audit", 70, 10), store, ["id"], ends=known)
+    assert dense(source.read_log(spark, store)) and source.scan(spark, store, ["audit"]).count() == 80
 
 
 def test_polls_are_bounded_even_with_gaps(spark, store):
