@@ -29,29 +29,41 @@ def count_window(
     )
 
 
+PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
 def time_range_window(
     df: DataFrame,
     keys: list[str],
     seconds_col: str,
     n: int,
-    aggregates: dict[str, Column],
+    aggregates: dict[str, tuple[str, Column]],
     block_seconds: int = 6 * 3600,
 ) -> DataFrame:
     """Aggregates over the last ``n`` seconds before each record (same second included).
 
-    Rows are grouped by key and time block; the tail of a block is copied into the next one.
+    ``aggregates`` maps a name to ("sum" | "count" | "min" | "max", column).  Rows are first reduced
+    to one per key and second, so a task sees at most ``block_seconds + n`` rows of a key whatever
+    its rate; the windows run over those, in time blocks that also get the tail of the block before.  A row
+    without a time gets nulls.
     """
+    group, second = "_group", "_second"
+    rows = df.select("*", F.struct(*keys).alias(group), F.col(seconds_col).alias(second))
+    per_second = rows.groupBy(group, second).agg(
+        *[PARTIAL[kind](column).alias(name) for name, (kind, column) in aggregates.items()]
+    )
     size = max(block_seconds, n)
-    own = F.expr(f"`{seconds_col}` div {size}")
-    spill = F.col(seconds_col) % size >= size - n
+    own = F.expr(f"{second} div {size}")
+    spill = F.col(second) % size >= size - n
     homes = F.when(spill, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = df.withColumn("_block", F.explode(homes)).withColumn("_copy", F.col("_block") != own)
-    w = Window.partitionBy(*keys, "_block").orderBy(seconds_col).rangeBetween(-n, 0)
-    return (
-        spread.withColumns({name: a.over(w) for name, a in aggregates.items()})
-        .where(~F.col("_copy"))
-        .drop("_block", "_copy")
-    )
+    spread = per_second.withColumn("_block", F.explode(homes)).withColumn("_copy", F.col("_block") != own)
+    w = Window.partitionBy(group, "_block").orderBy(second).rangeBetween(-n, 0)
+    windowed = spread.withColumns(
+        {name: MERGE[kind](name).over(w) for name, (kind, _) in aggregates.items()}
+    ).where(~F.col("_copy"))
+    found = windowed.select(group, second, *aggregates)
+    return rows.join(found, [group, second], "left").drop(group, second)
 
 
 def rolling_failure_rate(

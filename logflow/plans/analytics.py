@@ -409,7 +409,11 @@ def time_range_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor("value").alias("_amount"),
     )
     windowed = windows.time_range_window(
-        events, ["user_id"], "sec", 3600, {"records": F.count(F.lit(1)), "amount": F.sum("_amount")}
+        events,
+        ["user_id"],
+        "sec",
+        3600,
+        {"records": ("count", F.lit(1)), "amount": ("sum", F.col("_amount"))},
     )
     return windowed.select("event_id", "user_id", "records", "amount")
 

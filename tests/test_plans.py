@@ -6,6 +6,7 @@ from __spark_entry__ import queries
 from logflow import scratch
 from logflow.operators import joins, metrics
 from logflow.operators.slices import rank_by
+from logflow.sources.log import first_k
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -27,6 +28,12 @@ def test_global_rank_moves_rows_by_slice(spark):
     assert "hashpartitioning(_slice" in data_side and "SinglePartition" not in data_side
 
 
+def test_first_k_is_limited_before_the_shuffle(spark):
+    part = F.col("id") % 3
+    df = spark.range(100).select(part.cast("string").alias("topic"), part.alias("partition"), F.col("id").alias("offset"))
+    assert plan(first_k(df, 3)).count("WindowGroupLimit") == 2
+
+
 def test_large_dimension_is_not_broadcast(spark):
     facts = spark.range(1000).withColumnRenamed("id", "k")
     table = spark.range(1000).withColumn("name", F.lit("n"))

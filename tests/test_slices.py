@@ -77,10 +77,14 @@ def test_lookback_longer_than_block_is_refused(skewed):
 
 @pytest.mark.parametrize("block_seconds", [60, 1000])
 def test_time_range_window(skewed, block_seconds):
-    got = time_range_window(skewed, ["k"], "sec", 500, {"s": F.sum("v")}, block_seconds)
+    names = {"s": "sum", "n": "count", "lo": "min", "hi": "max"}
+    aggregates = {name: (kind, F.col("v")) for name, kind in names.items()}
+    got = time_range_window(skewed, ["k"], "sec", 500, aggregates, block_seconds)
     w = Window.partitionBy("k").orderBy("sec").rangeBetween(-500, 0)
-    want = skewed.withColumn("s", F.sum("v").over(w))
-    assert rows_of(got.select("id", "s")) == rows_of(want.select("id", "s"))
+    want = skewed.withColumns(
+        {"s": F.sum("v").over(w), "n": F.count("v").over(w), "lo": F.min("v").over(w), "hi": F.max("v").over(w)}
+    )
+    assert rows_of(got.select("id", *names)) == rows_of(want.select("id", *names))
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
