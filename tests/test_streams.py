@@ -151,3 +151,32 @@ def test_split_batches_keeps_every_record(spark, tmp_path, root):
     runs.drain(stream.writeStream.foreachBatch(ops.split_batches(path, outcome, "outcome")), str(tmp_path / "c"))
     counts = {r.outcome: r["count"] for r in spark.read.parquet(path).groupBy("outcome").count().collect()}
     assert counts == {"dlt": 14, "main": 26}
+
+
+def test_new_matching_topics_join_a_running_log(spark, tmp_path, root):
+    def run():
+        stream = source.stream_log(spark, root, "id BIGINT").where(source.topic_matches("shop-.*"))
+        table = runs.appended_table(stream.select("topic", "id"), str(tmp_path / "o"), str(tmp_path / "c"))
+        return {r.topic: r["count"] for r in table.groupBy("topic").count().collect()}
+
+    sink.append(records(spark, "shop-a", 0, 5), root, ["id"])
+    sink.append(records(spark, "other", 0, 5), root, ["id"])
+    assert run() == {"shop-a": 5}
+    sink.append(records(spark, "shop-b", 0, 7), root, ["id"])
+    assert run() == {"shop-a": 5, "shop-b": 7}
+
+
+def test_latest_group_sees_only_later_records(spark, tmp_path, root):
+    sink.append(records(spark, "t", 0, 30), root, ["id"])
+    nobody = spark.createDataFrame([], "consumer_group STRING, topic STRING, partition INT, offset BIGINT")
+    log = source.read_log(spark, root)
+    starts = source.start_positions(log, nobody, "g", "latest")
+    saved = spark.createDataFrame(starts.collect(), starts.schema)  # kept with the group's checkpoint
+
+    def run():
+        stream = source.from_positions(source.stream_log(spark, root, "id BIGINT"), saved)
+        return runs.appended_table(stream.select("id"), str(tmp_path / "o"), str(tmp_path / "c"))
+
+    assert run().isEmpty()
+    sink.append(records(spark, "t", 30, 8), root, ["id"])
+    assert sorted(r.id for r in run().collect()) == list(range(30, 38))
