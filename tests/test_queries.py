@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare, connect
+from logflow.plans import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -25,20 +26,20 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     if name not in WHOLE_TABLE_RESULT:
         assert "SinglePartition" not in plan
     got = df.toPandas()
-    assert compare(got, duck.execute(oracle_sql()[name]).df()) == "ok"
+    assert compare(got, duck.execute(ORACLES[name]).df()) == "ok"
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
