@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logflow.llm import mixing, packing, topk, vptree, warc
+from logflow.llm import mixing, neardup, packing, topk, vptree, warc
 from logflow.llm.common import table
 from logflow.scratch import fresh_dir
 
@@ -79,3 +79,9 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(table(spark, sf_dir, "pages"), fresh_dir(spark, "warc"))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return warc.read_archives(archives).select(*columns)
+
+
+@query("op8_near_duplicates")
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on two-word shingles."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
