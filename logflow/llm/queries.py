@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logflow.llm import mixing, neardup, packing, topk, vptree, warc
+from logflow.llm import mixing, neardup, packing, passages, topk, vptree, warc
 from logflow.llm.common import table
 from logflow.scratch import fresh_dir
 
@@ -85,3 +85,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on two-word shingles."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
+@query("op5_repeated_passages")
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that every document loses to passages of earlier ones."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.remove_repeats(rows).drop("text")
