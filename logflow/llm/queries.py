@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logflow.llm import mixing, neardup, packing, passages, topk, vptree, warc
+from logflow.llm import mixing, neardup, packing, passages, perplexity, topk, vptree, warc
 from logflow.llm.common import table
 from logflow.scratch import fresh_dir
 
@@ -92,3 +92,10 @@ def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that every document loses to passages of earlier ones."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
     return passages.remove_repeats(rows).drop("text")
+
+
+@query("op9_perplexity")
+def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document, its language's threshold and whether it is kept."""
+    scored = perplexity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[1]
+    return scored.drop("chunk", "rid")
