@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logflow.llm.chunks import store_chunks
 from logflow.llm.common import word_count
 from logflow.scratch import materialize
 
 #: Documents of one source that are sorted together; a source has as many ranges of random keys as this needs.
 RANGE_ROWS = 50_000
+#: Text bytes of the documents that one task repeats at a time.
+CHUNK_BYTES = 8 << 20
 
 
 def ranked_sources(sizes: DataFrame, weights: list[float]) -> DataFrame:
@@ -60,8 +67,9 @@ def mix(
     budget_ratio: float = 1.5,
     max_epochs: float = 2.0,
     seed: int = 42,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Words to take of each document: ``doc_id, source, size, source_size, target, taken``.
+    """Words to take of each document: ``doc_id, source, size, source_size, target, taken`` and ``carry``.
 
     Sources share ``budget_ratio`` times all words by weight (see ``with_targets``).  A source is read whole as
     often as its target holds it; of one more pass, documents are taken by hash-random key until the words
@@ -72,7 +80,7 @@ def mix(
     Other columns are ignored.  An empty table gives no rows.  The same rows and seed give the same mix.
     """
     key = F.xxhash64(F.lit(seed), "doc_id", F.col("size"))
-    sizes = documents.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn("key", key)
+    sizes = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry).withColumn("key", key)
     sizes = materialize(sizes, "sizes")
     sources = with_targets(ranked_sources(sizes, list(weights)), budget_ratio, max_epochs)
     sources = sources.withColumn("ranges", F.ceil(F.col("n_docs") / RANGE_ROWS).cast("long"))
@@ -107,4 +115,43 @@ def mix(
     rest = F.col("left") - F.col("before") - F.col("inside")
     taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(rest, F.col("size")))
     joined = dealt.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("of_range")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), *carry)
+
+
+def first_words(text: str, n: int) -> str:
+    """A text up to the end of its ``n``-th word, white space unchanged."""
+    data = text.encode("utf-8", "surrogatepass")
+    last = next(islice(re.finditer(rb"[^\x20\x09-\x0D]+", data), n - 1, None))
+    return data[: last.end()].decode("utf-8", "surrogatepass")
+
+
+def take(documents: DataFrame, **options) -> DataFrame:
+    """The mix itself: every document as often as ``mix`` takes it, all columns as they are.
+
+    Of a document that is not taken whole, the text ends after the last word taken, and ``n_chars``, if there is
+    such a column, follows.  Documents without words are in no mix.
+    """
+    store = store_chunks(documents, CHUNK_BYTES)
+    rows = store.select("row.doc_id", "row.source", "row.text", "chunk", "rid")
+    plan = mix(rows, carry=("chunk", "rid"), **options).where("taken > 0").select("chunk", "rid", "size", "taken")
+
+    def repeat(docs: pa.Table, plan: pa.Table) -> pa.Table:
+        share = {r: (s, t) for r, s, t in zip(*(plan[c].to_pylist() for c in ("rid", "size", "taken")), strict=True)}
+        times, cut = [], []
+        for i, rid in enumerate(docs["rid"].to_pylist()):
+            size, taken = share.get(rid, (1, 0))
+            times += [i] * (taken // size)
+            if taken % size:
+                cut.append((i, taken % size))
+        rows = pa.Table.from_struct_array(docs["row"])
+        part = rows.take(pa.array([i for i, _ in cut], pa.int64()))
+        at, kind = rows.schema.get_field_index("text"), rows.schema.field("text").type
+        texts = [first_words(t, n) for t, (_, n) in zip(part["text"].to_pylist(), cut, strict=True)]
+        part = part.set_column(at, "text", pa.array(texts, kind))
+        if "n_chars" in rows.schema.names:
+            at, kind = rows.schema.get_field_index("n_chars"), rows.schema.field("n_chars").type
+            part = part.set_column(at, "n_chars", pa.array([len(t) for t in texts], kind))
+        whole = rows.take(pa.array(times, pa.int64()))
+        return pa.concat_tables([whole, part.cast(whole.schema)])
+
+    return store.groupBy("chunk").cogroup(plan.groupBy("chunk")).applyInArrow(repeat, documents.schema)

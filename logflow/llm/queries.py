@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logflow.llm import mixing, neardup, packing, passages, perplexity, topk, vptree, warc
+from logflow.llm import licenses, mixing, neardup, packing, passages, perplexity, topk, toxicity, vptree, warc
 from logflow.llm.common import table
 from logflow.scratch import fresh_dir
 
@@ -99,3 +99,15 @@ def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every document, its language's threshold and whether it is kept."""
     scored = perplexity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[1]
     return scored.drop("chunk", "rid")
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated chance of toxicity of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses and notices found in every document, with coverage and place."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
