@@ -55,7 +55,7 @@ class Anchors:
         return rolling(self.hashes, starts, ends), rolling(mixed(self.hashes + np.uint64(1)), starts, ends)
 
 
-def find_phrases(texts: list[Anchors], marked: set[int], phrase: int) -> Iterator[np.ndarray]:
+def find_phrases(texts: list[Anchors], marked: np.ndarray, phrase: int) -> Iterator[np.ndarray]:
     """For each text, the segments whose anchor is a recurring phrase.
 
     The phrases that anchor marked segments of this chunk are compiled into one automaton, and every text of
@@ -63,11 +63,12 @@ def find_phrases(texts: list[Anchors], marked: set[int], phrase: int) -> Iterato
     """
     import ahocorasick
 
-    phrases = ahocorasick.Automaton()
+    phrases, marked = ahocorasick.Automaton(), np.sort(marked)
     for text in texts:
-        if text.count:
-            for i in np.flatnonzero(np.isin(text.grams[text.places].view(np.int64), list(marked))):
-                p = text.places[i]
+        if text.count and len(marked):
+            own = text.grams[text.places].view(np.int64)
+            at = np.minimum(np.searchsorted(marked, own), len(marked) - 1)
+            for p in text.places[marked[at] == own].tolist():
                 own = b" " + b" ".join(text.words[p : p + phrase]) + b" "
                 own = own.decode("utf-8", "surrogatepass")
                 phrases.add_word(own, len(own))
@@ -133,7 +134,7 @@ def remove_repeats(documents: DataFrame, window: int = 50, phrase: int = 8) -> D
 
     def segments_of(docs: pa.Table, marked: pa.Table) -> pa.Table:
         texts = [Anchors(text_words(t.as_py()), window, phrase) for t in docs["text"]]
-        wanted, out, rows = set(marked["anchor"].to_pylist()), [], []
+        wanted, out, rows = marked["anchor"].to_numpy(), [], []
         for i, (a, keep) in enumerate(zip(texts, find_phrases(texts, wanted, phrase), strict=True)):
             if len(keep):
                 s, e = a.starts[keep], a.ends[keep]
