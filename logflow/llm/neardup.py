@@ -142,6 +142,14 @@ def estimate(a: Column, b: Column) -> Column:
     return (equal - chance) / (1 - chance)
 
 
+def still_mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, with their component as ``label``; a written table."""
+    rows = buckets.drop("label").join(labels, "node", "left")
+    rows = rows.withColumn("label", F.coalesce("component", "node")).drop("component")
+    keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return materialize(rows.join(keys.where("low < high").select("key"), "key"), "buckets")
+
+
 class Verifier:
     """Decides pairs of classes: first by the estimate, then on whole sets."""
 
@@ -154,6 +162,35 @@ class Verifier:
         deviation = (equal * (1 - equal) / HASHES) ** 0.5 / (1 - chance)
         self.least = similarity - DEVIATIONS * deviation
 
+    def possible(self, size_a: Column, shared_a: Column, size_b: Column, shared_b: Column) -> Column:
+        """Whether two sets can be similar enough if at most ``shared`` of their elements stand in other sets."""
+        most = F.least(shared_a, shared_b)
+        return most * 100 >= (size_a + size_b - most) * self.percent
+
+    def with_shared(self, buckets: DataFrame) -> DataFrame:
+        """Adds each class's ``size`` and how many of its shingles are ``shared`` with any other class here."""
+        grams = self.sets.join(buckets.select("node").distinct(), "node").select("node", F.explode("grams").alias("gram"))
+        single = grams.groupBy("gram").agg(F.count("*").alias("n"), F.first("node").alias("node")).where("n = 1")
+        single = single.groupBy("node").agg(F.count("*").alias("own"))
+        sizes = self.planes.select("node", F.col("n_shingles").alias("size")).join(single, "node", "left")
+        sizes = sizes.select("node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
+        return buckets.join(sizes, "node")
+
+    def without_isolated(self, buckets: DataFrame) -> DataFrame:
+        """Rows but those that can be linked with no class of a bucket, whose sets all have a least size."""
+        least = buckets.groupBy("key").agg(F.min("size").alias("least"))
+        # The best partner has as many elements as are shared, or the least size if that is more.
+        partner = F.greatest("least", "shared")
+        can = self.possible(F.col("size"), F.col("shared"), partner, partner)
+        return buckets.join(least, "key").where(can).drop("least")
+
+    def candidates(self, buckets: DataFrame, other: DataFrame) -> DataFrame:
+        """Pairs of classes of different components in one bucket that can be links: ``a < b``."""
+        other = other.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "label", "size", "shared")])
+        can = self.possible(F.col("size"), F.col("shared"), F.col("size_2"), F.col("shared_2"))
+        pairs = buckets.join(other, "key").where((F.col("label") != F.col("label_2")) & can)
+        return pairs.select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")).distinct()
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs (a, b)`` whose sets are similar enough, as a written table."""
         side = lambda of: self.planes.select(
@@ -183,10 +220,11 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     id has the component of its text's other rows, if there are any.  Other columns are ignored.
 
     Equal word sequences form one class first, so copies never meet in pairs.  Classes that share a band are
-    candidates.  A bucket is first searched as a star around its smallest class, and only buckets that still hold
-    several components go on, around other classes, chosen at random by hash, while that saves comparisons;
-    then every pair left of different components is compared.  So no pair of one component is compared in
-    vain, and no pair of different ones is left out.
+    candidates.  A bucket is first searched as a star around its smallest class.  Buckets that still hold several
+    components go on without the classes that cannot be linked there, as too many of their shingles stand in no
+    other class left (see ``possible``): first as stars around the class with the fewest such shingles, then
+    around classes chosen by hash, while that saves comparisons; then every pair left of different components is
+    compared.  So no pair of one component is compared in vain, and no pair that could be a link is left out.
     """
     marks = materialize(prints(documents, k), "prints")
     full = marks.where("n_shingles > 0")
@@ -203,30 +241,27 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
 
     stars = buckets.groupBy("node").agg(F.min("center").alias("a")).where("a < node")
     links = check.links(stars.select("a", F.col("node").alias("b")))
-    buckets, pairs_before, turn = buckets.drop("center"), None, 0
+    labels = materialize(components(links), "labels")
+    buckets = check.with_shared(still_mixed(buckets.select("key", "node"), labels))
+    before, turn = None, 0
     while True:
-        labels = materialize(components(links), "labels")
-        own = F.coalesce("component", "node").alias("label")
-        rows = buckets.select("key", "node").join(labels, "node", "left").select("key", "node", own)
-        mixed_keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        buckets = materialize(rows.join(mixed_keys.where("low < high").select("key"), "key"), "buckets")
+        buckets = still_mixed(check.without_isolated(buckets), labels)
         size = buckets.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
         size = size.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-        n_rows, pairs = size.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()
+        rows, pairs = size.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()
         if not pairs:
             break
-        last = pairs <= 2 * n_rows or (pairs_before is not None and pairs > 0.8 * pairs_before)
-        turn, pairs_before = turn + 1, pairs
+        last = pairs <= 2 * rows or (before is not None and pairs > 0.8 * before)
+        turn, before = turn + 1, pairs
         if last:
-            other = buckets.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
-            found = buckets.withColumnRenamed("node", "a").join(other, "key").where("a < b AND label <> label_b")
+            other = buckets
         else:
-            middle = buckets.groupBy("key").agg(F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("m"))
-            found = buckets.join(middle, "key").where("label <> m.label")
-            found = found.select(F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b"))
-        links = links.unionByName(check.links(found.select("a", "b").distinct()))
+            rank = F.col("size") - F.col("shared") if turn == 1 else F.xxhash64("node", F.lit(turn))
+            middle = F.min_by(F.struct("node", "label", "size", "shared"), F.struct(rank, "node")).alias("m")
+            other = buckets.groupBy("key").agg(middle).select("key", "m.*")
+        links = links.unionByName(check.links(check.candidates(buckets, other)))
+        labels = materialize(components(links), "labels")
         if last:
-            labels = materialize(components(links), "labels")
             break
     own = classes.select(F.col("digest").alias("of"), F.col("node"))
     joined = marks.join(own, (F.col("digest") == F.col("of")) & (F.col("n_shingles") > 0), "left").join(labels, "node", "left")
