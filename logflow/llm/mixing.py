@@ -14,7 +14,7 @@ from logflow.llm.common import word_count
 from logflow.scratch import materialize
 
 #: Documents of one source that are sorted together; a source has as many ranges of random keys as this needs.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 5_000
 #: Text bytes of the documents that one task repeats at a time.
 CHUNK_BYTES = 8 << 20
 
