@@ -19,7 +19,7 @@ from logflow.llm.common import mixed
 from logflow.scratch import materialize
 
 #: Text bytes of the documents of one chunk, and code points that are counted at a time.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 PIECE = 1 << 20
 #: Stands before the first character of a text.
 START = "\x02"
