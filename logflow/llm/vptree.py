@@ -89,7 +89,7 @@ def nearest(
     embeddings: DataFrame,
     k: int = 20,
     every: int = 20,
-    factor: float = 5.0,
+    factor: float = 2.0,
     shard_rows: int = 4096,
     query_rows: int = 4096,
     leaf_rows: int = 32,
