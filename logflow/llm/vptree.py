@@ -54,22 +54,27 @@ def search_shard(docs: pa.Table, queries: pa.Table, k: int, factor: float, leaf_
         return SCHEMA.empty_table()
     ids, asked = docs["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
     v, q = same_width(matrix(docs["v"]), matrix(queries["v"]))
-    # One more component makes all rows equally long: the nearest row is then the one of largest product.
-    squares = (v**2).sum(1)
-    longest = squares.max()
-    tree = Tree(np.column_stack([v, np.sqrt(np.maximum(longest - squares, 0))]), leaf_rows)
-    below = tree.bounds(np.column_stack([q, np.zeros(len(q))]))
-    length = (q**2).sum(1) + longest
-    slack = 1e-7 * np.sqrt(length)  # rounding of distances
+    lengths, asked_lengths = np.sqrt((v**2).sum(1)), np.sqrt((q**2).sum(1))
+    # Rows of similar length share a tree, so that one long row does not blur the distances of all others.
+    leaves, most = [], []
+    for power in np.unique(np.frexp(lengths)[1]):
+        own = np.flatnonzero(np.frexp(lengths)[1] == power)
+        longest = lengths[own].max()
+        # One more component makes all rows as long as the longest; with queries of that length, too, the nearest
+        # row is the one of largest product.
+        tree = Tree(np.column_stack([v[own], np.sqrt(np.maximum(longest**2 - lengths[own] ** 2, 0))]), leaf_rows)
+        below = tree.bounds(np.column_stack([q * (longest / asked_lengths)[:, None], np.zeros(len(q))]))
+        below = np.maximum(below - 1e-7 * longest, 0) * factor  # less what rounding can add
+        most.append((longest - below**2 / (2 * longest)) * asked_lengths[:, None])
+        leaves += [own[rows] for _, rows in tree.leaves]
+    most = np.concatenate(most, 1)  # the largest product that a leaf can hold, if factor is 1
     out = []
     for i, own in enumerate(asked):
         found, scores = np.zeros(0, np.int64), np.zeros(0)
-        for leaf in np.argsort(below[i], kind="stable"):
-            if len(found) == k:
-                kth = np.sqrt(max(length[i] - 2 * scores[-1], 0))
-                if (below[i, leaf] - slack[i]) * factor > kth:
-                    break
-            rows = tree.leaves[leaf][1]
+        for leaf in np.argsort(-most[i], kind="stable"):
+            if len(found) == k and most[i, leaf] < scores[-1]:
+                break
+            rows = leaves[leaf]
             new, value = ids[rows], (v[rows] * q[i]).sum(1)
             if (new == own).any():
                 new, value = new[new != own], value[new != own]
@@ -97,8 +102,8 @@ def nearest(
     """The ``k`` nearest rows by inner product found for every query among all other rows of ``embeddings``.
 
     Queries are the rows whose vec_id is divisible by ``every``.  Every row is in the tree of its shard, and every
-    shard is asked.  A leaf is left out if its lower bound times ``factor`` exceeds the k-th distance found so
-    far: with factor 1 the search is exact, larger ones leave out more.
+    shard is asked.  A leaf is left out if the distance that the triangle inequality leaves it, times ``factor``,
+    is more than the k-th nearest found so far: with factor 1 the search is exact, larger ones leave out more.
 
     Vectors that are null, zero or hold null or non-finite components, and rows without a vec_id, take no part.
     Shorter vectors count as padded with zeros.  Rows with the query's own id are no candidates; other repeated
