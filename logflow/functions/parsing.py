@@ -12,9 +12,10 @@ def _nonempty(c: Column) -> Column:
 
 
 def action_parts(value: str = "value") -> tuple[Column, Column]:
-    """``ACTION:amount`` → (action, amount text); a missing amount is ``'0'``."""
+    """``ACTION:amount`` → (action, amount text); a missing amount is ``'0'``, a null value gives nulls."""
     parts = F.split(F.col(value), ":")
-    return F.get(parts, F.lit(0)), F.coalesce(_nonempty(F.get(parts, F.lit(1))), F.lit("0"))
+    text = F.coalesce(_nonempty(F.get(parts, F.lit(1))), F.lit("0"))
+    return F.get(parts, F.lit(0)), F.when(F.col(value).isNotNull(), text)
 
 
 def parse_action(df: DataFrame, value: str = "value") -> DataFrame:
@@ -148,7 +149,8 @@ def on_error(
         return decoded.withColumn(out, F.when(bad, default).otherwise(F.col(out)))
     if action == "fail":
         stop = F.raise_error(F.concat(F.lit("bad record: "), F.array_join("errors", ",")))
-        return decoded.withColumn(out, F.when(bad, stop).otherwise(F.col(out)))
+        # In a filter, so that it also runs where nobody selects the decoded column.
+        return decoded.where(F.when(bad, stop.cast("boolean")).otherwise(F.lit(True)))
     raise ValueError(f"unknown action {action!r}")
 
 

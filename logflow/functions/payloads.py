@@ -110,9 +110,8 @@ def unframe(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 # Layouts of the generated payloads.
-SMALL_PAYLOAD = (
-    '{"id":%d,"timestamp":%d,"data":"Message payload for testing batching and compression performance"}'
-)
+SMALL_FILLER = "short filler text of a record, " * 5 + "end"  # about 200 bytes with the other fields
+SMALL_PAYLOAD = '{"id":%d,"timestamp":%d,"data":"' + SMALL_FILLER + '"}'
 LARGE_PAYLOAD = '{"timestamp":%d,"data":"%s","metadata":{"source":"benchmark","version":"1.0"}}'
 
 

@@ -87,10 +87,11 @@ def recover(saved: DataFrame) -> DataFrame:
 
 
 def consumer_lag(log: DataFrame, commits: DataFrame, group: str) -> DataFrame:
-    """End offset, committed offset and lag per partition; no commit counts from the first record."""
-    mine = commits.where(F.col("consumer_group") == group).select(
-        "topic", "partition", F.col("offset").alias("_committed")
-    )
+    """End offset, committed offset and lag per partition; no commit counts from the first record.
+
+    Commits may be an append-only history: the newest one of a partition counts."""
+    mine = commits.where(F.col("consumer_group") == group).groupBy("topic", "partition")
+    mine = mine.agg(F.max("offset").alias("_committed"))
     committed = F.coalesce("_committed", "begin_offset")
     return bounds(log).join(mine, ["topic", "partition"], "left").select(
         F.lit(group).alias("consumer_group"),

@@ -171,4 +171,4 @@ def compatibility_report(
         rules or COMPATIBILITY_RULES,
         "change STRING, " + ", ".join(f"{m} BOOLEAN" for m in MODES),
     )
-    return schema_changes(schemas).join(F.broadcast(table), "change")
+    return schema_changes(schemas).join(table, "change")

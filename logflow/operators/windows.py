@@ -54,8 +54,8 @@ def time_range_window(
         *[PARTIAL[kind](column).alias(name) for name, (kind, column) in aggregates.items()]
     )
     size = max(block_seconds, n)
-    own = F.expr(f"{second} div {size}")
-    spill = F.col(second) % size >= size - n
+    own = F.expr(f"({second} - pmod({second}, {size})) div {size}")
+    spill = F.pmod(second, F.lit(size)) >= size - n
     homes = F.when(spill, F.array(own, own + 1)).otherwise(F.array(own))
     spread = per_second.withColumn("_block", F.explode(homes)).withColumn("_copy", F.col("_block") != own)
     w = Window.partitionBy(group, "_block").orderBy(second).rangeBetween(-n, 0)

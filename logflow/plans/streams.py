@@ -37,7 +37,6 @@ from logflow.sources.log import stream_log
 from logflow.streaming import operators as stream_ops
 from logflow.streaming import runs
 
-BACKLOG = "60 days"
 FILES = 3
 
 
@@ -62,7 +61,7 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     windowed = stream_ops.tumbling(
         events_stream(spark, sf_dir),
         "1 hour",
-        BACKLOG,
+        None,
         [F.count("*").alias("records"), F.sum(F.floor("num")).alias("amount")],
         "event_type",
     )
@@ -84,7 +83,7 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
         events_stream(spark, sf_dir),
         "1 hour",
         "15 minutes",
-        BACKLOG,
+        None,
         [F.count("*").alias("records"), F.sum(F.floor("num")).alias("amount")],
     )
     return window_text(runs.updated_table(windowed, ["window_start"], *paths(spark, "sliding")))
@@ -99,7 +98,7 @@ def stream_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_dedup", with_rec("SELECT event_id, key, action || ':' || amount_text AS value FROM rec"))
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = stream_log(spark, duplicates_store(spark, sf_dir), DUP_EXTRAS, files_per_trigger=FILES)
-    unique = stream_ops.dedup(stream, "event_id", BACKLOG).select("event_id", "key", "value")
+    unique = stream_ops.dedup(stream, "event_id").select("event_id", "key", "value")
     return runs.appended_table(unique, *paths(spark, "dedup"))
 
 

@@ -354,7 +354,7 @@ def make_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "synthetic_records",
     """SELECT event_id, '{"id":' || event_id || ',"timestamp":' || (epoch_us(ts) // 1000)
-      || ',"data":"Message payload for testing batching and compression performance"}' AS value,
+      || ',"data":"' || repeat('short filler text of a record, ', 5) || 'end"}' AS value,
     strlen('{"timestamp":' || (epoch_us(ts) // 1000) || ',"data":"' || repeat('X', 400)
       || '","metadata":{"source":"benchmark","version":"1.0"}}')::INTEGER AS large_bytes FROM events""",
 )

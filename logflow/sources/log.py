@@ -120,7 +120,7 @@ def start_positions(
 ) -> DataFrame:
     """Where a consumer group starts on every partition.
 
-    A committed offset wins.  Otherwise ``earliest`` starts at the first record, ``latest`` at the
+    A committed offset wins, the newest of several.  Otherwise ``earliest`` starts at the first record, ``latest`` at the
     end offset known when the group subscribed (``ends``; default: the end now), ``none`` fails.
     """
     known = bounds(log)
@@ -129,9 +129,8 @@ def start_positions(
         known = known.join(ends, ["topic", "partition"], "left").withColumn(
             "end_offset", F.coalesce("_subscribed", F.lit(0).cast("bigint"))
         )
-    mine = commits.where(F.col("consumer_group") == group).select(
-        "topic", "partition", F.col("offset").alias("_committed")
-    )
+    mine = commits.where(F.col("consumer_group") == group).groupBy("topic", "partition")
+    mine = mine.agg(F.max("offset").alias("_committed"))
     fallback = {
         "earliest": F.col("begin_offset"),
         "latest": F.col("end_offset"),

@@ -25,10 +25,11 @@ from logflow.session import ship_package
 
 
 def tumbling(
-    stream: DataFrame, length: str, delay: str, aggregates: list[Column], *keys: str, ts: str = "timestamp"
+    stream: DataFrame, length: str, delay: str | None, aggregates: list[Column], *keys: str, ts: str = "timestamp"
 ) -> DataFrame:
     """Aggregates per fixed window.  ``delay`` bounds the state: it must cover the stream's disorder,
-    as later rows are dropped."""
+    as later rows are dropped.  Without one no row is dropped, and the state keeps every window: the choice
+    for a finished log whose files come in any order."""
     window = F.window(ts, length)
     return _windowed(stream, window, delay, aggregates, keys, ts)
 
@@ -37,7 +38,7 @@ def sliding(
     stream: DataFrame,
     length: str,
     slide: str,
-    delay: str,
+    delay: str | None,
     aggregates: list[Column],
     *keys: str,
     ts: str = "timestamp",
@@ -47,7 +48,8 @@ def sliding(
 
 
 def _windowed(stream, window, delay, aggregates, keys, ts) -> DataFrame:
-    grouped = stream.withWatermark(ts, delay).groupBy(window.alias("w"), *keys).agg(*aggregates)
+    marked = stream.withWatermark(ts, delay) if delay else stream
+    grouped = marked.groupBy(window.alias("w"), *keys).agg(*aggregates)
     return grouped.select(F.col("w.start").alias("window_start"), *grouped.columns[1:])
 
 
@@ -58,8 +60,10 @@ def balances(stream: DataFrame) -> DataFrame:
     )
 
 
-def dedup(stream: DataFrame, key: str, delay: str, ts: str = "timestamp") -> DataFrame:
-    """Drop repeats of a message id that arrive within ``delay`` of the first one."""
+def dedup(stream: DataFrame, key: str, delay: str | None = None, ts: str = "timestamp") -> DataFrame:
+    """Drop repeats of a message id that arrive within ``delay`` of the first one; without one, all repeats."""
+    if not delay:
+        return stream.dropDuplicates([key])
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
