@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,9 @@ BITS = 2
 #: An estimate from 128 minima of a similarity s has a deviation of 0.042 at s = 0.8; six of them below are cut.
 DEVIATIONS = 6
 
+#: Most rows and shingles of a block; a bucket's blocks are compared two at a time.
+BLOCK_ROWS, BLOCK_GRAMS = 2048, 1 << 20
+
 PRINTS = "doc_id long, digest binary, n_shingles long, bands array<long>, planes array<long>"
 
 
@@ -124,6 +128,58 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(work, "node long, grams array<long>").dropDuplicates(["node", "grams"])
 
 
+def compare_blocks(rows: pa.Table, percent: int, least: float) -> pa.Table:
+    """Links ``a, b`` between the components in two blocks of a bucket (or in one), enough to join those that touch.
+
+    Classes outside the block's largest component are compared with those of other components, if this bucket is
+    the first that both share, by their sizes, their packed bits and at last their whole sets.  Components that are
+    joined already are not compared again.
+    """
+    rows = rows.combine_chunks()
+    node, size, shared, own = (rows[c].to_numpy() for c in ("node", "size", "shared", "own"))
+    key, crossed = rows["key"][0].as_py(), rows["low"][0].as_py() != rows["high"][0].as_py()
+    bands, planes = (
+        rows[c].combine_chunks().flatten().to_numpy().reshape(len(node), -1) for c in ("bands", "planes")
+    )
+    planes = planes.view(np.uint64)
+    grams = rows["grams"].combine_chunks()
+    ids = np.unique(grams.flatten().to_numpy(), return_inverse=True)[1]
+    ends = np.cumsum(pc.list_value_length(grams).to_numpy())
+    starts = ends - np.diff(ends, prepend=0)
+    label = np.unique(rows["label"].to_numpy(), return_inverse=True)[1]
+    outside = label != np.bincount(label).argmax()
+    longs, chance, found = HASHES // 64, 2.0**-BITS, []
+    mark = np.zeros(ids.max() + 1, np.int64)
+    for i in np.flatnonzero(outside):
+        most = np.minimum(shared, shared[i])
+        can = (label != label[i]) & (most * 100 >= (size + size[i] - most) * percent)
+        can &= np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * percent
+        can[: i + 1] &= ~outside[: i + 1]
+        if crossed:
+            can &= own != own[i]
+        at = np.flatnonzero(can)
+        differ = np.bitwise_or.reduce((planes[at] ^ planes[i]).reshape(len(at), BITS, longs), axis=1)
+        equal = 1 - np.bitwise_count(differ).sum(1) / HASHES
+        at = at[(equal - chance) / (1 - chance) >= least]
+        same = bands[at] == bands[i]
+        at = at[bands[i, same.argmax(1)] == key]
+        if not len(at):
+            continue
+        mark[ids[starts[i] : ends[i]]] = 1
+        both = np.add.reduceat(
+            mark[np.concatenate([ids[starts[j] : ends[j]] for j in at])],
+            np.cumsum(ends[at] - starts[at]) - (ends[at] - starts[at]),
+        )
+        mark[ids[starts[i] : ends[i]]] = 0
+        at = at[both * 100 >= (size[i] + size[at] - both) * percent]
+        for j in at:
+            if label[j] != label[i]:
+                found.append((node[i], node[j]))
+                label[label == label[j]] = label[i]
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def estimate(a: Column, b: Column) -> Column:
     """Similarity from the counts of equal b-bit minima, less the share that is equal by chance."""
     longs = HASHES // 64
@@ -155,6 +211,7 @@ class Verifier:
 
     def __init__(self, classes: DataFrame, sets: DataFrame, percent: int) -> None:
         self.planes = classes.select("node", "planes", "n_shingles")
+        self.bits = classes.select("node", "planes", "bands")
         self.sets, self.percent = sets, percent
         similarity = percent / 100
         chance = 2.0**-BITS
@@ -209,6 +266,24 @@ class Verifier:
         sure = likely.join(grams("a"), "a").join(grams("b"), "b").where(both * 100 >= union * self.percent)
         return materialize(sure.select("a", "b").distinct(), "links")
 
+    def links_between(self, buckets: DataFrame) -> DataFrame:
+        """Links between the components of each bucket, as a written table.
+
+        Every pair of classes of different components is compared, but inside tasks, block by block: a bucket's rows
+        are copied once for each of its blocks, not once for each partner, and only links leave a task.
+        """
+        percent, least = self.percent, self.least
+        total = buckets.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("grams"))
+        most = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS))
+        rows = buckets.join(total.select("key", most.cast("int").alias("blocks")), "key")
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        rows = rows.join(self.bits, "node").join(self.sets, "node")
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        links = rows.drop("blocks", "other").groupBy("key", "low", "high")
+        links = links.applyInArrow(lambda part: compare_blocks(part, percent, least), "a long, b long")
+        return materialize(links.distinct(), "links")
+
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Components of near-duplicate documents: ``doc_id, n_shingles, component_id, kept``.
@@ -223,8 +298,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     candidates.  A bucket is first searched as a star around its smallest class.  Buckets that still hold several
     components go on without the classes that cannot be linked there, as too many of their shingles stand in no
     other class left (see ``possible``): first as stars around the class with the fewest such shingles, then
-    around classes chosen by hash, while that saves comparisons; then every pair left of different components is
-    compared.  So no pair of one component is compared in vain, and no pair that could be a link is left out.
+    around classes chosen by hash, while that saves comparisons; then the pairs left of different components are
+    compared in blocks.  So no pair of one component is compared in vain, and no pair that could be a link is left out.
     """
     marks = materialize(prints(documents, k), "prints")
     full = marks.where("n_shingles > 0")
@@ -254,12 +329,12 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
         last = pairs <= 2 * rows or (before is not None and pairs > 0.8 * before)
         turn, before = turn + 1, pairs
         if last:
-            other = buckets
+            found = check.links_between(buckets)
         else:
             rank = F.col("size") - F.col("shared") if turn == 1 else F.xxhash64("node", F.lit(turn))
             middle = F.min_by(F.struct("node", "label", "size", "shared"), F.struct(rank, "node")).alias("m")
-            other = buckets.groupBy("key").agg(middle).select("key", "m.*")
-        links = links.unionByName(check.links(check.candidates(buckets, other)))
+            found = check.links(check.candidates(buckets, buckets.groupBy("key").agg(middle).select("key", "m.*")))
+        links = links.unionByName(found)
         labels = materialize(components(links), "labels")
         if last:
             break

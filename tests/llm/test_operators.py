@@ -184,6 +184,28 @@ def test_passages(docs, rows):
     assert passages.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_near_copies_around_the_threshold_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 9)
+    rng = random.Random(11)
+    base, texts = made_up(rng, 120).split(), []
+    for i in range(90):
+        own = list(base)
+        for j in rng.sample(range(120), 2 + i % 16):
+            own[j] = f"x{rng.randrange(3)}"  # edits that others have too
+        texts.append(" ".join(own))
+    sets = [set(zip(t.split(), t.split()[1:], strict=False)) for t in texts]
+    root = list(range(90))
+    for _ in root:
+        for a, b in itertools.combinations(range(90), 2):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                root[a] = root[b] = min(root[a], root[b])
+    blocks, inside = [], neardup.Verifier.links_between
+    monkeypatch.setattr(neardup.Verifier, "links_between", lambda self, b: blocks.append(b.count()) or inside(self, b))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, k=2).collect()}
+    assert got == dict(enumerate(root)) and blocks[0] > 9 and len(set(root)) > 1
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates(docs, rows, k):
     sets = {}
