@@ -20,7 +20,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
+    except AnalysisException as error:  # any other error must not make offsets start again
+        if error.getCondition() not in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
+            raise
         return False
 
 

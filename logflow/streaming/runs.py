@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.utils import AnalysisException
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:
@@ -35,9 +36,14 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def read_batches(spark: SparkSession, path: str, df_schema: T.StructType) -> DataFrame:
-    """Rows of all batches written so far, with their ``batch``."""
+    """Rows of all batches written so far, with their ``batch``; none before the first batch."""
     schema = T.StructType(list(df_schema.fields) + [T.StructField("batch", T.LongType())])
-    return spark.read.schema(schema).parquet(path)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def latest_update(batches: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from logflow.operators import joins, offsets
 from logflow.records import as_records
 from logflow.sinks import log as sink
 from logflow.sources import log as source
+from logflow.streaming import runs
 
 
 def records(spark, topic, first, n, keys=5):
@@ -50,6 +51,14 @@ def test_appends_continue_offsets_and_keep_order(spark, root):
     assert offsets.order_violations(log, "id", width=9).agg(F.sum("violations")).first()[0] == 0
 
 
+def test_only_a_missing_store_counts_as_none(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert not sink.exists(spark, str(tmp_path / "none")) and not sink.exists(spark, str(tmp_path / "empty"))
+    assert runs.read_batches(spark, str(tmp_path / "none"), spark.range(0).schema).collect() == []
+    with pytest.raises(Exception, match="nowhere"):
+        sink.exists(spark, "nowhere://store/log")
+
+
 def test_a_new_topic_starts_at_zero(spark, store):
     sink.append(records(spark, "late", 0, 5), store, ["id"])
     begins = source.bounds(source.scan(spark, store, ["late"])).agg(F.max("begin_offset")).first()[0]
