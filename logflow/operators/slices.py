@@ -32,7 +32,7 @@ def running_totals(
 
     ``order[0]`` must be an integral column whose values spread the rows (an id, an offset, epoch
     seconds); the whole list must order rows uniquely.  Null keys form their own group, because the
-    group travels as a struct.  The big side is shuffled once, on (group, slice).
+    group travels as a struct.  Null values add nothing.  The big side is shuffled once, on (group, slice).
     """
     group, piece = "_group", "_slice"
     local = {name: f"_local_{name}" for name in sums}
@@ -50,7 +50,7 @@ def running_totals(
         .select(
             group,
             piece,
-            *[F.coalesce(F.sum(start[n]).over(before), F.lit(0)).alias(start[n]) for n in sums],
+            *[F.sum(start[n]).over(before).alias(start[n]) for n in sums],
         )
     )
     inside = (
@@ -60,10 +60,15 @@ def running_totals(
     )
     ranked = sliced.withColumns({local[n]: F.sum(local[n]).over(inside) for n in sums})
     return ranked.join(starts, [group, piece]).select(
-        *df.columns, *[(F.col(local[n]) + F.col(start[n])).alias(n) for n in sums]
+        *df.columns, *[_added(F.col(local[n]), F.col(start[n])).alias(n) for n in sums]
     )
 
 
+def _added(a: Column, b: Column) -> Column:
+    """Sum that takes a null for nothing; null only if both are."""
+    return F.coalesce(a + b, a, b)
+
+
 def running_since(
     df: DataFrame,
     keys: list[str],
@@ -75,7 +80,7 @@ def running_since(
     """Running sums that start over at every row where ``restart`` holds (that row included).
 
     A slice hands on what it summed since its last restart; a later slice adds it up to its own
-    first restart.
+    first restart.  A null ``restart`` is none.
     """
     group, piece, stretch = "_group", "_slice", "_stretch"
     local = {name: f"_local_{name}" for name in sums}
@@ -95,7 +100,7 @@ def running_since(
             "*",
             (F.struct(*keys) if keys else F.lit(0)).alias(group),
             F.coalesce(F.expr(f"`{order[0]}` div {width}"), F.lit(NULL_SLICE)).alias(piece),
-            restart.cast("bigint").alias("_restart"),
+            F.coalesce(restart, F.lit(False)).cast("bigint").alias("_restart"),
             *[expr.alias(local[name]) for name, expr in sums.items()],
         )
         .withColumn(stretch, F.sum("_restart").over(inside))
@@ -120,13 +125,13 @@ def running_since(
     starts = carried.select(
         group,
         piece,
-        *[F.coalesce(F.lag(start[n]).over(by_slice), F.lit(0)).alias(start[n]) for n in sums],
+        *[F.lag(start[n]).over(by_slice).alias(start[n]) for n in sums],
     )
     summed = sliced.withColumns({local[n]: F.sum(local[n]).over(since) for n in sums})
     carry = F.col(stretch) == 0
     return summed.join(starts, [group, piece]).select(
         *df.columns,
-        *[(F.col(local[n]) + F.when(carry, F.col(start[n])).otherwise(0)).alias(n) for n in sums],
+        *[_added(F.col(local[n]), F.when(carry, F.col(start[n]))).alias(n) for n in sums],
     )
 
 

@@ -35,6 +35,18 @@ def test_running_totals(skewed, width, keys):
     assert rows_of(got.select("id", "s", "n")) == rows_of(want.select("id", "s", "n"))
 
 
+@pytest.mark.parametrize("width", [2, 97])
+def test_null_values_add_nothing(skewed, width):
+    rows = skewed.withColumn("v", F.when(F.col("id") % 3 > 0, F.col("v")))
+    got = slices.running_totals(rows, ["k"], ["id"], {"s": F.col("v")}, width)
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    assert rows_of(got.select("id", "s")) == rows_of(rows.select("id", F.sum("v").over(w)))
+    got = slices.running_since(rows, ["k"], ["id"], F.col("v") > 90, {"s": F.col("v")}, width)
+    turn = rows.withColumn("turn", F.count_if(F.col("v") > 90).over(w))
+    w = Window.partitionBy("k", "turn").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    assert rows_of(got.select("id", "s")) == rows_of(turn.select("id", F.sum("v").over(w)))
+
+
 @pytest.mark.parametrize("width", [10, 97, 1 << 18])
 @pytest.mark.parametrize("every", [3, 400, 5000])
 def test_running_since(skewed, width, every):
