@@ -6,8 +6,6 @@ conditions prune folders and offset conditions reach the Parquet row-group filte
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +14,6 @@ from logflow.operators.slices import SLICE_WIDTH, rank_by
 from logflow.records import RECORD_SCHEMA
 from logflow.scratch import materialize
 
-#: Above this many positions a join replaces the pushed-down filter.
-MAX_INLINE_POSITIONS = 256
-
 
 def with_extras(extras: str | None = None) -> T.StructType:
     """The record schema plus extra columns given as DDL."""
@@ -65,46 +60,28 @@ def bounds(log: DataFrame) -> DataFrame:
     )
 
 
-def few_positions(positions: DataFrame, column: str) -> list | None:
-    """The (topic, partition, column) rows when they are few enough to inline in a plan, else None."""
-    rows = positions.select("topic", "partition", column).limit(MAX_INLINE_POSITIONS + 1).collect()
-    return rows if len(rows) <= MAX_INLINE_POSITIONS else None
-
-
-def _at(row) -> Column:
-    return (F.col("topic") == row["topic"]) & (F.col("partition") == row["partition"])
-
-
 def _sized(positions: DataFrame) -> DataFrame:
     """Positions as a written table, so that Spark's broadcast decision sees their true size."""
     return materialize(positions, "positions")
 
 
 def from_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
-    """Records at or after ``start`` of their (topic, partition).
+    """Records at or after ``start`` of their (topic, partition), the smallest of several.
 
-    There is one position per log partition, so they normally become a filter that prunes folders
-    and row groups; a log with very many partitions is joined instead.
+    The least start of all is also a condition on the scan, so that row groups before it are not read.
     """
-    few = few_positions(positions, "start")
-    if few is not None:
-        here = [_at(r) & (F.col("offset") >= r["start"]) for r in few]
-        return log.where(reduce(lambda a, b: a | b, here, F.lit(False)))
-    starts = _sized(positions.select("topic", "partition", "start"))
-    joined = log.join(starts, ["topic", "partition"]).where(F.col("offset") >= F.col("start"))
+    starts = positions.groupBy("topic", "partition").agg(F.min("start").alias("_start"))
+    starts = _sized(starts)
+    if not log.isStreaming:
+        log = log.where(F.col("offset") >= starts.agg(F.min("_start")).scalar())
+    joined = log.join(starts, ["topic", "partition"]).where(F.col("offset") >= F.col("_start"))
     return joined.select(*log.columns)
 
 
 def with_position(df: DataFrame, positions: DataFrame, column: str, out: str) -> DataFrame:
-    """Add a per-(topic, partition) number to every record without shuffling the records."""
-    few = few_positions(positions, column)
-    if few is not None:
-        value = F.lit(None).cast("bigint")
-        for r in few:
-            value = F.when(_at(r), F.lit(r[column]).cast("bigint")).otherwise(value)
-        return df.withColumn(out, value)
-    known = _sized(positions.select("topic", "partition", F.col(column).alias(out)))
-    return df.join(known, ["topic", "partition"], "left")
+    """Add a per-(topic, partition) number to every record, the largest of several."""
+    known = _sized(positions.groupBy("topic", "partition").agg(F.max(column).alias(out)))
+    return df.join(known, ["topic", "partition"], "left").select(*df.columns, out)
 
 
 def seek_beginning(log: DataFrame) -> DataFrame:

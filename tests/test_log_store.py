@@ -113,16 +113,24 @@ def test_reset_policies(spark, store):
     assert source.resume(log, commits, "g").count() == 56
 
 
-def test_many_positions_use_a_join(spark, store, monkeypatch):
+def test_number_and_repetition_of_positions_do_not_matter(spark, store):
     log = source.scan(spark, store)
     positions = source.bounds(log).select("topic", "partition", F.lit(3).cast("bigint").alias("start"))
-    inlined = source.from_positions(log, positions).count()
-    monkeypatch.setattr(source, "MAX_INLINE_POSITIONS", 1)
-    assert source.from_positions(log, positions).count() == inlined
+    want = log.where("offset >= 3").count()
+    assert source.from_positions(log, positions).count() == want
+    later = positions.withColumn("start", F.col("start") + 1)
+    strange = spark.range(1000).select(
+        F.lit("nowhere").alias("topic"), F.col("id").cast("int").alias("partition"), F.lit(4).cast("bigint").alias("start")
+    )
+    many = positions.unionByName(later).unionByName(strange)
+    assert source.from_positions(log, many).count() == want
+    known = source.with_position(log, many, "start", "at")
+    assert known.columns == [*log.columns, "at"]
+    assert known.count() == log.count() and known.where("at <> 4").count() == 0
+    assert source.from_positions(log, positions.limit(0)).count() == 0
     more = records(spark, "audit", 60, 10)
     sink.append(more, store, ["id"])
     assert dense(source.read_log(spark, store))
-    monkeypatch.undo()
     ends = source.bounds(source.scan(spark, store)).select("topic", "partition", "end_offset").collect()
     known = spark.createDataFrame(ends, "topic STRING, partition INT, end_offset BIGINT")
     sink.append(records(spark, "audit", 70, 10), store, ["id"], ends=known)
