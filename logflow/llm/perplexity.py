@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logflow.llm.chunks import store_chunks
@@ -25,6 +25,10 @@ PIECE = 1 << 20
 START = "\x02"
 #: Characters of the base distribution, known or not: all of Unicode.
 ALPHABET = 0x110000
+#: Thresholds are looked for in steps of 1/200 of the logarithm, so what is sorted does not grow with the labels.
+STEPS = 200
+#: Fewest labelled documents of a kind for a threshold of a language's own.
+LEAST_LABELS = 20
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -146,22 +150,70 @@ def probabilities(wanted: DataFrame, counts: DataFrame, order: int) -> DataFrame
     return level.select("lang", "gram", F.ln("p").alias("logp"))
 
 
-def score(documents: DataFrame, labels: DataFrame, order: int = 4, quantile: float = 0.99, slack: float = 1.1):
+def thresholds(labelled: DataFrame, quantile: float) -> DataFrame:
+    """``lang, threshold`` for every language of ``labelled (lang, perplexity, kind)`` with learnt text.
+
+    A threshold minimizes the share of the ``clean`` documents above it plus the share of the ``junk`` ones below it
+    and lies in the middle, by logarithm, of the gap there; of equal ones the highest.  Without enough junk it is
+    the ``quantile`` of the clean ones, without enough clean ones that of all languages together, which is null if
+    there is no clean document at all.
+    """
+    count = lambda kind: F.count(F.when(F.col("kind") == kind, 1)).alias(kind)
+    step = F.floor(F.ln("perplexity") * STEPS).alias("step")
+    steps = labelled.groupBy("lang", step).agg(count("learnt"), count("clean"), count("junk"))
+    steps = materialize(steps, "steps")
+    pooled = steps.groupBy("step").agg(F.sum("clean").alias("clean"), F.sum("junk").alias("junk"))
+    rows = steps.select("lang", "step", "clean", "junk").unionByName(pooled.withColumn("lang", F.lit(None).cast("string")))
+    whole = Window.partitionBy("lang")
+    upward = whole.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.where("clean + junk > 0").select(
+        "lang",
+        "step",
+        F.lead("step").over(whole.orderBy("step")).alias("next"),
+        F.sum("clean").over(whole).alias("n_clean"),
+        F.sum("junk").over(whole).alias("n_junk"),
+        F.sum("clean").over(upward).alias("clean_in"),
+        F.sum("junk").over(upward).alias("junk_in"),
+    )
+    lost, missed = F.col("n_clean") - F.col("clean_in"), F.col("junk_in")
+    cost = lost * F.col("n_junk") + missed * F.col("n_clean")
+    middle = (F.col("step") + 1 + F.coalesce("next", F.col("step") + 1)) / 2
+    within = F.when(F.col("clean_in") >= quantile * F.col("n_clean"), F.col("step") + 1)
+    limits = rows.groupBy("lang").agg(
+        F.max("n_clean").alias("n_clean"),
+        F.max("n_junk").alias("n_junk"),
+        F.exp(F.min_by(middle, F.struct(cost, -F.col("step"))) / STEPS).alias("between"),
+        F.exp(F.min(within) / STEPS).alias("of_clean"),
+    )
+    least = F.when(F.col("lang").isNull(), 1).otherwise(LEAST_LABELS)
+    limit = F.when(F.col("n_junk") >= least, F.col("between")).otherwise(F.col("of_clean"))
+    limits = limits.where(F.col("n_clean") >= least).select("lang", limit.alias("threshold"))
+    pooled = limits.where("lang IS NULL").select(F.col("threshold").alias("pooled"))
+    learnt = steps.groupBy("lang").agg(F.sum("learnt").alias("learnt")).where("learnt > 0").select("lang")
+    both = learnt.join(limits, "lang", "left").join(F.broadcast(pooled), how="left")
+    return both.select("lang", F.coalesce("threshold", "pooled").alias("threshold"))
+
+
+def score(documents: DataFrame, labels: DataFrame, order: int = 4, quantile: float = 0.99):
     """Chunked documents, and ``chunk, rid, doc_id, lang, n_chars, perplexity, threshold, keep`` of each row.
 
     Trusted text are the documents labelled ``quality = 1``; of these, those whose crc32(doc_id as text) mod 5 is
-    0 are held out, and the model of a language counts the n-grams of all others.  The threshold of a language is
-    ``slack`` times the ``quantile`` of its held-out documents' perplexities.  Documents above it are rejected.
+    0 are held out, and the model of a language counts the n-grams of all others.  The threshold of a language
+    parts its held-out documents' perplexities from those of its documents labelled ``quality = 0`` that are not
+    held out, see ``thresholds``.  Documents above it are rejected.
 
     Null and empty texts have no perplexity and are rejected.  A null lang is a language of its own.  A language
-    without held-out documents has no threshold, and its texts are kept.  Repeated rows are scored alike; a
-    doc_id with several labels is trusted only if all are 1.  Other columns are ignored here and kept in the
-    chunks.
+    without trusted text has no model, so no threshold, and its texts are kept.  Repeated rows are scored alike; a
+    doc_id with several labels is trusted only if all are 1, and junk only if all are 0.  Other columns are ignored
+    here and kept in the chunks.
     """
     store = store_chunks(documents, CHUNK_BYTES)
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    good = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("quality"))
-    good = good.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"))
+    good = F.min(F.coalesce("quality", F.lit(0))) == 1
+    bad = F.max(F.coalesce("quality", F.lit(1))) == 0
+    kind = F.when(F.col("good") & held, "clean").when(F.col("good"), "learnt").when(F.col("bad") & ~held, "junk")
+    kinds = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(good.alias("good"), bad.alias("bad"))
+    kinds = kinds.select(F.col("doc_id").cast("long").alias("doc_id"), kind.alias("kind")).where("kind IS NOT NULL")
     row = F.col("row")
     slim = store.select(
         "chunk",
@@ -170,7 +222,8 @@ def score(documents: DataFrame, labels: DataFrame, order: int = 4, quantile: flo
         F.coalesce(row["lang"], F.lit("")).alias("lang"),
         row["text"].alias("text"),
     )
-    trusted = materialize(slim.select("chunk", "rid", "doc_id").join(good, "doc_id"), "trusted")
+    labelled = slim.select("chunk", "rid", "doc_id").join(kinds, "doc_id").select("chunk", "rid", "kind")
+    labelled = materialize(labelled, "labelled")
 
     def grams_of(docs: pa.Table, own: pa.Table) -> pa.Table:
         langs, texts = np.array(docs["lang"].to_pylist(), object), docs["text"].to_pylist()
@@ -187,7 +240,7 @@ def score(documents: DataFrame, labels: DataFrame, order: int = 4, quantile: flo
         columns += [pa.array(sum(names, []), pa.string()), pa.array(np.concatenate(counts))]
         return pa.table(columns, names=["chunk", "lang", "gram", "c"])
 
-    learn = trusted.where("NOT held_out").select("chunk", "rid").groupBy("chunk")
+    learn = labelled.where("kind = 'learnt'").select("chunk", "rid").groupBy("chunk")
     grams = slim.groupBy("chunk").cogroup(learn).applyInArrow(grams_of, "chunk long, lang string, gram string, c long")
     grams = materialize(grams, "grams")
     totals = materialize(grams.groupBy("lang", "gram").agg(F.sum("c").alias("c")), "totals")
@@ -218,9 +271,7 @@ def score(documents: DataFrame, labels: DataFrame, order: int = 4, quantile: flo
     schema = "chunk long, rid long, doc_id long, lang string, n_chars long, perplexity double"
     scored = slim.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(perplexities, schema)
     scored = materialize(scored, "scored")
-    aside = trusted.where("held_out").select("chunk", "rid")
-    limits = scored.join(aside, ["chunk", "rid"]).where("perplexity IS NOT NULL").groupBy("lang")
-    limits = limits.agg((F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold"))
+    limits = thresholds(scored.where("perplexity IS NOT NULL").join(labelled, ["chunk", "rid"]), quantile)
     keep = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return store, scored.join(limits, "lang", "left").withColumn("keep", keep)
 

@@ -289,6 +289,41 @@ def test_quality_keeps_clean_text(spark):
     assert perplexity.filter_quality(df.limit(0), labels).count() == 0
 
 
+def test_thresholds_part_clean_from_junk(spark):
+    rng = random.Random(6)
+    rows = [("a", rng.uniform(4, 5), "clean") for _ in range(50)] + [("a", 30.0, "clean")]  # an outlier
+    rows += [("a", rng.uniform(6, 40), "junk") for _ in range(40)] + [("a", 4.5, "junk"), ("a", 4.0, "learnt")]
+    rows += [("b", rng.uniform(8, 9), "clean") for _ in range(200)] + [("b", 4.0, "learnt")]  # without junk
+    rows += [("c", 4.8, "clean"), ("c", 7.0, "learnt"), ("d", 3.0, "learnt"), ("e", 2.0, "junk"), ("f", 2.0, "clean")]
+    of = lambda kind, langs: [p for l, p, k in rows if k == kind and l in langs]
+
+    def cost(limit, langs):
+        clean, junk = of("clean", langs), of("junk", langs)
+        return sum(p > limit for p in clean) / len(clean) + sum(p <= limit for p in junk) / len(junk)
+
+    df = spark.createDataFrame(rows, "lang string, perplexity double, kind string").repartition(3)
+    got = dict(map(tuple, perplexity.thresholds(df, 0.99).collect()))
+    assert set(got) == set("abcd")
+    assert cost(got["a"], "a") == min(cost(p, "a") for _, p, _ in rows) and 5 < got["a"] < 6.5
+    assert abs(got["b"] / sorted(of("clean", "b"))[197] - 1) <= 1 / perplexity.STEPS
+    assert got["c"] == got["d"] and abs(cost(got["c"], "abcdef") - min(cost(p, "abcdef") for _, p, _ in rows)) < 0.02
+    assert {r.threshold for r in perplexity.thresholds(df.where("kind <> 'clean'"), 0.99).collect()} == {None}
+    assert perplexity.thresholds(df.limit(0), 0.99).count() == 0
+
+
+def test_quality_rejects_junk_below_clean_outliers(spark):
+    rng = random.Random(8)
+    clean = lambda: " ".join(rng.choice(["the", "house", "stands", "near", "water"]) for _ in range(60))
+    junk = lambda: " ".join("".join(rng.sample(w, len(w))) for w in clean().split())
+    rows = [(i, clean() if i % 3 else junk(), "en") for i in range(300)]
+    odd = [i for i in range(300, 400) if zlib.crc32(str(i).encode()) % 5 == 0][:3]  # trusted, held out, and worse than junk
+    rows += [(i, "漢字🙂" * 40, "en") for i in odd]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0 or i in odd), 0) for i, *_ in rows], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in perplexity.filter_quality(df, labels).collect()}
+    assert kept == {i for i in range(300) if i % 3}
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     bad = lambda i: i % 3 == 0
