@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
@@ -96,6 +97,31 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def overlaps(ids: np.ndarray, most: np.ndarray, size: int) -> np.ndarray:
+    """For each window of ``size`` words, how many it has of a template's, of each word at most ``most[id]``."""
+    own = np.flatnonzero(most[ids])
+    own = own[np.argsort(ids[own], kind="stable")]
+    word = ids[own]
+    # A place counts in windows that start after the place of the same word ``most`` occurrences before it.
+    back = np.arange(len(own)) - most[word]
+    same = back >= np.searchsorted(word, word)
+    first = np.maximum(np.where(same, own[np.maximum(back, 0)] + 1, 0), own - size + 1)
+    last = np.minimum(own, len(ids) - size)
+    use = first <= last
+    change = np.bincount(first[use], minlength=len(ids) + 2) - np.bincount(last[use] + 1, minlength=len(ids) + 2)
+    return np.cumsum(change)[: len(ids) - size + 1]
+
+
+def common_length(words: list[str], places: Mapping[str, int], length: int) -> int:
+    """Length of the longest common subsequence with a template, ``places`` being each of its words' places as bits."""
+    full = (1 << length) - 1
+    left = full
+    for word in words:
+        if both := left & places.get(word, 0):
+            left = ((left + both) | (left - both)) & full
+    return length - left.bit_count()
+
+
 class Scanner:
     """Finds templates in texts; the words of all templates are numbered once."""
 
@@ -104,10 +130,36 @@ class Scanner:
         vocabulary = sorted({w for t in self.templates.values() for w in t})
         self.number = {w: i for i, w in enumerate(vocabulary)}
         self.least, self.stretch = least, stretch
-        self.member = {}
+        self.most, self.places = {}, {}
         for name, t in self.templates.items():
-            self.member[name] = np.zeros(len(vocabulary) + 1, np.int64)
-            self.member[name][[self.number[w] for w in t]] = 1
+            self.most[name] = np.bincount([self.number[w] for w in t], minlength=len(vocabulary) + 1)
+            self.places[name] = {w: sum(1 << j for j, x in enumerate(t) if x == w) for w in t}
+
+    def best_window(self, words: list[str], name: str, bounds: np.ndarray, size: int):
+        """Pairs of the window that aligns best, of equal ones the first; None if none reaches ``least``.
+
+        ``bounds`` is at least what a window can align.  Windows are aligned from the highest bound down until no
+        other one can be better.  The longest common subsequence is a second bound, which changes by at most one
+        from a window to its neighbour and so rules out windows on both sides as well.
+        """
+        template, places = self.templates[name], self.places[name]
+        target, best = math.ceil(self.least * len(template)), None
+        full, out = np.flatnonzero(bounds >= target), np.zeros(len(bounds), bool)
+        for start in full[np.argsort(-bounds[full], kind="stable")].tolist():
+            if best and (bounds[start], -start) <= best[:2]:
+                break
+            if out[start]:
+                continue
+            window = words[start : start + size]
+            short = target - common_length(window, places, len(template))
+            if short > 0:
+                out[max(0, start - short + 1) : start + short] = True
+                continue
+            pairs = align(window, template)
+            found = (len(pairs), -start, pairs)
+            if len(pairs) >= target and (best is None or found[:2] > best[:2]):
+                target, best = len(pairs), found
+        return best
 
     def scan(self, text: str | None) -> Iterator[tuple[str, float, int, int, int, int]]:
         """Name, coverage, matched words, template words, first and last word of each template found."""
@@ -115,23 +167,14 @@ class Scanner:
         ids = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
         for name, template in self.templates.items():
             need = self.least * len(template)
-            hits = self.member[name][ids]
+            hits = self.most[name][ids] > 0
             if not len(words) or hits.sum() < need:
                 continue
-            # Windows with enough of the template's words; of neighbouring ones, the first with the most.
             size = min(len(words), int(len(template) * self.stretch) + 2)
             sums = np.concatenate([[0], np.cumsum(hits)])
-            counts = sums[size:] - sums[:-size]
-            full = np.flatnonzero(counts >= need)
-            best = None
-            for run in np.split(full, np.flatnonzero(np.diff(full) > 1) + 1):
-                while len(run):
-                    start = int(run[counts[run].argmax()])
-                    pairs = align(words[start : start + size], template)
-                    found = (len(pairs), -start, pairs)
-                    if len(pairs) >= need and (best is None or found[:2] > best[:2]):
-                        best = found
-                    run = run[run >= start + size]
+            if (sums[size:] - sums[:-size]).max() < need:
+                continue
+            best = self.best_window(words, name, overlaps(ids, self.most[name], size), size)
             if best:
                 n, start, pairs = best[0], -best[1], best[2]
                 yield name, n / len(template), n, len(template), start + pairs[0][0], start + pairs[-1][0]
@@ -142,8 +185,8 @@ def scan_licenses(
 ) -> DataFrame:
     """One row for each document and template of which at least ``least`` of the words align: SCAN's columns.
 
-    A template is looked for in windows of ``stretch`` times its length (and two words); windows that hold too few
-    of its words cannot reach ``least`` and are not aligned.  The best window counts, of equal ones the first.
+    A template is looked for in all windows of ``stretch`` times its length (and two words); only windows that
+    cannot reach ``least`` or be better than another are not aligned.  The best window counts, of equal ones the first.
     Words are compared in lower case without the punctuation around them.
 
     Null and empty texts have no rows; repeated documents have repeated rows; other columns are ignored.  The

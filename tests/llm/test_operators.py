@@ -137,6 +137,38 @@ def test_patience_alignment_and_scan(spark, docs):
     assert 0.9 < got["ISC"].coverage < 1 and licenses.scan_licenses(docs).count() == 0
 
 
+def test_scan_is_the_best_of_all_windows():
+    text = "Released under the MIT License. This notice is under the License or under the License. The License, under the terms of the License."
+    found = list(licenses.Scanner(licenses.TEMPLATES, 0.8, 1.5).scan(text))
+    assert [(f[0], f[1], f[4], f[5]) for f in found] == [("MIT-notice", 1.0, 0, 4)]
+    rng, some = random.Random(9), 0
+    templates = {"five": "a b c d e", "twelve": "a b a c d e a b f g h a", "one": "q"}
+    scanner = licenses.Scanner(templates, 0.8, 1.5)
+    for _ in range(400):
+        words = [rng.choice("aabbcdefgh" + "xyzq" * rng.randrange(2)) for _ in range(rng.randrange(60))]
+        at = rng.randrange(len(words) + 1)
+        text = " ".join(words[:at] + rng.choice([[], "a b c d e".split(), templates["twelve"].split()[1:]]) + words[at:])
+        words, want = text.split(), []
+        for name, t in templates.items():
+            t = t.split()
+            size, best = min(len(words), int(len(t) * 1.5) + 2), None
+            ids, most = np.array([t.index(w) if w in t else -1 for w in words], np.int64), np.zeros(len(t) + 1, np.int64)
+            for w in t:
+                most[t.index(w)] += 1
+            bounds = licenses.overlaps(ids, most, size) if words else []
+            for s in range(len(words) - size + 1 if words else 0):
+                window = words[s : s + size]
+                assert bounds[s] == sum(min(window.count(w), t.count(w)) for w in set(t))
+                pairs = licenses.align(window, t)
+                if len(pairs) >= 0.8 * len(t) and (best is None or len(pairs) > best[1]):
+                    best = (name, len(pairs), len(t), s + pairs[0][0], s + pairs[-1][0])
+            want += [best] if best else []
+        got = [(f[0], *f[2:]) for f in scanner.scan(text)]
+        assert got == want
+        some += len(want)
+    assert some > 200
+
+
 def test_mix(docs, rows):
     got = mixing.mix(docs).collect()
     assert len(got) == len(rows) and sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix(docs).collect()), key=str)
