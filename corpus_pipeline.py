@@ -39,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 1024 ids."""
+    """Pieces of documents with their ids, in sequences of 1024 ids."""
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 

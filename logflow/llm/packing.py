@@ -170,9 +170,10 @@ def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = 2048) -> Dat
 
 
 def pack_documents(documents: DataFrame, vocabulary: str, capacity: int = 1024) -> DataFrame:
-    """Documents as packed pieces: PIECES' columns with ``sequence_id`` and ``offset``.
+    """Documents as packed pieces: PIECES' columns and ``ids`` with ``sequence_id`` and ``offset``.
 
-    Every id lies in exactly one piece, and pieces fill a sequence from offset 0 without gaps.  An empty table
-    gives no pieces; other columns are ignored.
+    Every id lies in exactly one piece, and pieces fill a sequence from offset 0 without gaps: a sequence is the ids
+    of its pieces by offset.  An empty table gives no pieces; other columns are ignored.
     """
-    return pack(materialize(token_pieces(documents, vocabulary, capacity=capacity), "pieces"), capacity).drop("uid")
+    pieces = materialize(token_pieces(documents, vocabulary, capacity=capacity, keep_ids=True), "pieces")
+    return pack(pieces, capacity).drop("uid")

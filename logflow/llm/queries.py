@@ -70,7 +70,8 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_pack")
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 1024 ids."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return packed.drop("ids")
 
 
 @query("op1_warc")

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from logflow.llm import licenses, mixing, neardup, packing, passages, perplexity, topk, toxicity, vptree, warc
 from logflow.llm.components import components
 from logflow.llm.queries import tokenizer_path
@@ -288,6 +289,25 @@ def test_packing(docs, rows):
     assert packing.pack_documents(docs.limit(0), path).count() == 0
 
 
+def test_last_stage_gives_the_sequences(spark, rows):
+    encode = packing.byte_level_encoder(tokenizer_path("byte_bpe_50k.json"))
+    texts = [(r[0], r[1]) for r in rows] + [(3, "one two"), (3, "one")]  # a document again, whole and cut
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    left, sequences = {}, {}
+    for i, t in texts:
+        whole = (i, tuple([*encode(t or "").tolist(), 0]))
+        left[whole] = left.get(whole, 0) + 1
+    want = sum(n * len(ids) for (_, ids), n in left.items())
+    got = corpus_pipeline.pack(spark, df, "").collect()
+    for r in sorted(got, key=lambda r: r.offset):
+        assert r.length == len(r.ids) and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        assert any(i == r.doc_id and list(ids[r.start : r.start + r.length]) == r.ids for i, ids in left)
+        sequences.setdefault(r.sequence_id, []).extend(r.ids)
+        assert len(sequences[r.sequence_id]) == r.offset + r.length <= 1024
+    assert sum(map(len, sequences.values())) == want
+    assert sum(s.count(0) for s in sequences.values()) == sum(n * ids.count(0) for (_, ids), n in left.items())
+
+
 def test_kneser_ney_is_a_distribution(spark):
     texts = ["abcabcabd", "abd", "cab", None, ""] * 3
     names, counts = perplexity.count_grams(texts, np.ones(len(texts)), 3)
