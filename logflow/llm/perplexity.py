@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logflow.llm.chunks import store_chunks
+from logflow.llm.chunks import store_chunks, without_rows
 from logflow.llm.common import mixed
 from logflow.scratch import materialize
 
@@ -279,6 +279,4 @@ def score(documents: DataFrame, labels: DataFrame, order: int = 4, quantile: flo
 def filter_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that ``score`` keeps, with all their columns."""
     store, scored = score(documents, labels)
-    rejected = scored.where("NOT keep").groupBy("chunk").agg(F.collect_list("rid").alias("gone"))
-    stays = F.coalesce(~F.array_contains("gone", F.col("rid")), F.lit(True))
-    return store.join(rejected, "chunk", "left").where(stays).select("row.*")
+    return without_rows(store, scored.where("NOT keep"), documents.schema)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from logflow.llm import licenses, mixing, neardup, packing, passages, perplexity, topk, toxicity, vptree, warc
+from logflow.llm import chunks, licenses, mixing, neardup, packing, passages, perplexity, topk, toxicity, vptree, warc
 from logflow.llm.components import components
 from logflow.llm.queries import tokenizer_path
 from logflow.scratch import fresh_dir
@@ -363,6 +363,21 @@ def test_thresholds_part_clean_from_junk(spark):
     assert perplexity.thresholds(df.limit(0), 0.99).count() == 0
 
 
+def test_chunks_and_rejects_of_rows_without_text(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "CHUNK_ROWS", 50)
+    rows = [(i, None if i % 2 else "", "en") for i in range(400)] + [(i, "text " * 9, "en") for i in range(400, 420)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    store = chunks.store_chunks(df, 1000)
+    got = [tuple(r) for r in store.selectExpr("chunk", "rid", "row.doc_id").collect()]
+    sizes = {}
+    for chunk, *_ in got:
+        sizes[chunk] = sizes.get(chunk, 0) + 1
+    assert max(sizes.values()) <= 50 and len({r for _, r, _ in got}) == len(got) == 420
+    kept = perplexity.filter_quality(df, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert {r.doc_id for r in kept.collect()} == set(range(400, 420)) and kept.columns == df.columns
+    assert "collect_list" not in kept._jdf.queryExecution().toString()
+
+
 def test_quality_rejects_junk_below_clean_outliers(spark):
     rng = random.Random(8)
     clean = lambda: " ".join(rng.choice(["the", "house", "stands", "near", "water"]) for _ in range(60))
