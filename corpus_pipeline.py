@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logflow.llm import mixing, neardup, packing, passages, perplexity
+from logflow.llm.chunks import store_chunks, without_rows
 from logflow.llm.common import table
 from logflow.llm.queries import tokenizer_path
 from logflow.scratch import materialize
 
 #: The models, estimates and alignments of these stages have no SQL form; tests compare them with plain Python.
 ORACLE_SQL = None
+#: Text bytes of a chunk of documents, in near_duplicates.
+CHUNK_BYTES = 16 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,9 +23,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    gone = neardup.near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near-duplicates, the one with the smallest id; of equal and null ids, one row.
+
+    Every row is a document of its own here, whatever its id.
+    """
+    store = store_chunks(docs, CHUNK_BYTES)
+    groups = neardup.near_duplicates(store.select(F.col("rid").alias("doc_id"), F.col("row.text").alias("text")))
+    ids = store.select("chunk", "rid", F.col("row.doc_id").alias("doc_id"))
+    groups = materialize(groups.select(F.col("doc_id").alias("rid"), "component_id").join(ids, "rid"), "groups")
+    rank = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "rid")
+    stays = groups.groupBy("component_id").agg(F.min(rank).alias("first")).select(F.col("first.rid").alias("rid"))
+    return without_rows(store, groups.join(stays, "rid", "left_anti"), docs.schema)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -261,6 +261,20 @@ def test_near_duplicates(docs, rows, k):
     assert neardup.near_duplicates(docs.limit(0), k=k).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(12)
+    a, b, c = (made_up(rng, 80) for _ in range(3))
+    near = a.rsplit(" ", 2)[0] + " other end"
+    rows = [(4, a, "p"), (3, near, "q"), (3, near, "r"), (None, a, "s"), (None, b, "t"), (None, b, "u"), (7, c, "v"), (7, "own", "w")]
+    rows += [(8, None, "x"), (9, "", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, rid string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    got = sorted([(r.doc_id, r.text) for r in got.collect()], key=str)
+    assert got == sorted([(3, near), (None, b), (7, c), (7, "own"), (8, None), (9, "")], key=str)
+    assert corpus_pipeline.near_duplicates(spark, df.limit(0), "").count() == 0
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
