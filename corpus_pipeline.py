@@ -11,7 +11,8 @@ from logflow.llm.common import table
 from logflow.llm.queries import tokenizer_path
 from logflow.scratch import materialize
 
-#: The models, estimates and alignments of these stages have no SQL form; tests compare them with plain Python.
+#: The models, estimates and alignments of these stages have no SQL form.  No test compares run() or a document's
+#: perplexity with plain Python; tests cover the operators and the last and the near-duplicates stage.
 ORACLE_SQL = None
 #: Text bytes of a chunk of documents, in near_duplicates.
 CHUNK_BYTES = 16 << 20
