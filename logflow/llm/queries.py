@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logflow.llm import licenses, mixing, neardup, packing, passages, perplexity, topk, toxicity, vptree, warc
+from logflow.llm import licenses, mixing, neardup, packing, passages, perplexity, sharding, topk, toxicity, vptree, warc
 from logflow.llm.common import table
 from logflow.scratch import fresh_dir
 
@@ -112,3 +112,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses and notices found in every document, with coverage and place."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_histogram_sort")
+def op11_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard among 40 of near-equal bytes, and its place there."""
+    sharded = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    crc = F.crc32(F.coalesce("text", F.lit("")))
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return sharded.select("doc_id", "size", crc.alias("text_crc32"), "law", "shard", "slot", grown)
