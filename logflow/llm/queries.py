@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logflow.llm import licenses, mixing, neardup, packing, passages, perplexity, sharding, topk, toxicity, vptree, warc
-from logflow.llm.common import table
+from logflow.llm import licenses, mixing, neardup, packing, passages, perplexity, runs, sharding, topk, toxicity, vptree, warc
+from logflow.llm.common import WORD, table
 from logflow.scratch import fresh_dir
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,25 @@ def op11_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     crc = F.crc32(F.coalesce("text", F.lit("")))
     grown = F.lit(None).cast("int").alias("grown_shard")
     return sharded.select("doc_id", "size", crc.alias("text_crc32"), "law", "shard", "slot", grown)
+
+
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``: of every tenth text, by a hash of its doc_id, the words from one place on repeat the first few there."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    rows = documents.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    rows = rows.withColumn("n", F.size("words").cast("long")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+
+    def word(w, i):
+        return F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+
+    planted = F.concat_ws(" ", F.transform("words", word))
+    return rows.select("doc_id", F.when(F.col("p").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs after planting some, the strongest one, and a digest of the text without them."""
+    found = runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")), keep_runs=False)
+    return found.drop("text", "n_words")
