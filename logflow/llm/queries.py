@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logflow.llm import licenses, mixing, neardup, packing, passages, perplexity, runs, sharding, topk, toxicity, vptree, warc
+from logflow.llm import collocations, licenses, mixing, neardup, packing, passages, perplexity, runs, sharding, topk, toxicity, vptree, warc
 from logflow.llm.common import WORD, table
 from logflow.scratch import fresh_dir
 
@@ -143,3 +143,32 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's periodic runs after planting some, the strongest one, and a digest of the text without them."""
     found = runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")), keep_runs=False)
     return found.drop("text", "n_words")
+
+
+@query(
+    "op13_phrase_graph",
+    """
+    WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents WHERE text IS NOT NULL),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE len(w) > 0),
+    totals AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+    grams AS (SELECT lang, k, w[i : i + k - 1] AS g, count(*) AS f
+      FROM starts, (VALUES (1), (2), (3)) sizes(k) WHERE i + k - 1 <= len(w) GROUP BY lang, k, w[i : i + k - 1]),
+    c AS (SELECT * FROM grams WHERE f >= 10),
+    cuts AS (SELECT c.lang, c.k, c.g, c.f AS a, l.k AS cut, l.f AS l, r.f AS r,
+        (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
+      FROM c JOIN c l ON l.lang = c.lang AND l.k < c.k AND l.g = c.g[1 : l.k]
+      JOIN c r ON r.lang = c.lang AND r.k = c.k - l.k AND r.g = c.g[l.k + 1 : c.k]),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+    inner_ones AS (SELECT DISTINCT b.lang, b.g FROM best b JOIN c t ON t.lang = b.lang AND b.k = 2 AND t.k = 3
+      AND (b.g = t.g[1 : 2] OR b.g = t.g[2 : 3]) AND 100 * t.f >= 50 * b.a),
+    kept AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM best b ANTI JOIN inner_ones i ON i.lang = b.lang AND i.g = b.g),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def op13_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's strongest collocations of two and three words."""
+    return collocations.strongest_collocations(table(spark, sf_dir, "documents"))
