@@ -18,13 +18,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logflow.scratch import materialize
+from logflow.scratch import fresh_dir, materialize
 from logflow.session import ship_package
 
 #: Words of one language whose phrases a task counts together before it passes them on.
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 19
 #: Rows that a task passes on at a time.
 OUT_ROWS = 1 << 16
+#: Text bytes whose phrases a task of the shuffle counts together, and most tasks of it.
+TASK_BYTES, MOST_TASKS = 8 << 20, 50_000
 
 #: What ends a piece; what lies between words.
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -95,7 +97,11 @@ def count_phrases(documents: DataFrame, longest: int) -> DataFrame:
             yield from rows(lang)
 
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text IS NOT NULL")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(min(-(-size // TASK_BYTES), MOST_TASKS), int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     grams = texts.mapInArrow(count, "lang string, words int, gram string, n long")
+    # A phrase has at most one row from each block, and few rows of a task are equal: no second count before the shuffle.
+    grams = grams.repartition(tasks, "lang", "words", "gram")
     return grams.groupBy("lang", "words", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -149,7 +155,9 @@ class PhraseGraph(NamedTuple):
 
 def phrase_graph(documents: DataFrame, longest: int = 3, least: int = 10) -> PhraseGraph:
     """The graph of phrases of up to ``longest`` words (2 or more) that occur ``least`` times or more in a language."""
-    counted = materialize(count_phrases(documents, longest), "phrases")
+    path = fresh_dir(documents.sparkSession, "phrases")
+    count_phrases(documents, longest).write.option("compression", "zstd").parquet(path)
+    counted = documents.sparkSession.read.schema("lang string, words int, gram string, n long").parquet(path)
     totals = materialize(counted.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     edges = counted.where(F.col("words") == longest).select("lang", "gram", F.col("n").alias("a")).where(F.col("a") >= least)
     phrases = {longest: materialize(edges, "edges")}
