@@ -103,6 +103,11 @@ def is_json(value: str = "value") -> Column:
     return F.when(v.isNotNull(), F.try_parse_json(v).isNotNull())
 
 
+def not_json(value: str = "value") -> Column:
+    """True when the value does not parse as JSON; a null value is none.  The rule of all dead letters."""
+    return ~F.coalesce(is_json(value), F.lit(False))
+
+
 def json_field(name: str, type_name: str, value: str = "value") -> Column:
     """A typed field of a JSON value; null when the value or the field does not convert."""
     return F.try_variant_get(F.try_parse_json(F.col(value)), f"$.{name}", type_name)

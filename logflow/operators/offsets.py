@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logflow.operators.slices import SLICE_WIDTH, over_last_rows, rank_by, running_totals
-from logflow.sources.log import bounds, with_position
+from logflow.sources.log import newest_commits, with_position
 
 
 def assign_offsets(
@@ -34,12 +34,6 @@ def commit_offsets(processed: DataFrame, group: str, at: Column | None = None) -
     )
 
 
-def latest_commits(commits: DataFrame) -> DataFrame:
-    """The newest row of an append-only commit table per (group, topic, partition)."""
-    key = ["consumer_group", "topic", "partition"]
-    return commits.groupBy(*key).agg(F.max("offset").alias("offset"), F.max("updated_at").alias("updated_at"))
-
-
 def checkpoints(
     log: DataFrame, group: str, every: int, count_and_sum: Column, width: int = SLICE_WIDTH
 ) -> DataFrame:
@@ -86,15 +80,17 @@ def recover(saved: DataFrame) -> DataFrame:
     ).select("consumer_group", "topic", "partition", "_last.*")
 
 
-def consumer_lag(log: DataFrame, commits: DataFrame, group: str) -> DataFrame:
-    """End offset, committed offset and lag per partition; no commit counts from the first record.
+def consumer_lag(ends: DataFrame, commits: DataFrame, *groups: str) -> DataFrame:
+    """End offset, committed offset and lag per group and partition; no commit counts from the first record.
 
-    Commits may be an append-only history: the newest one of a partition counts."""
-    mine = commits.where(F.col("consumer_group") == group).groupBy("topic", "partition")
-    mine = mine.agg(F.max("offset").alias("_committed"))
+    ``ends`` are the bounds of the log's partitions (``bounds`` or ``store_bounds``), read once for all groups.
+    Commits may be an append-only history: the newest one of a partition counts.
+    """
+    mine = newest_commits(commits).select("consumer_group", "topic", "partition", F.col("offset").alias("_committed"))
+    asked = ends.withColumn("consumer_group", F.explode(F.array(*map(F.lit, groups))))
     committed = F.coalesce("_committed", "begin_offset")
-    return bounds(log).join(mine, ["topic", "partition"], "left").select(
-        F.lit(group).alias("consumer_group"),
+    return asked.join(mine, ["consumer_group", "topic", "partition"], "left").select(
+        "consumer_group",
         "topic",
         "partition",
         "end_offset",

@@ -12,7 +12,7 @@ from logflow.operators import joins, metrics, routing, schemas, windows
 from logflow.operators.offsets import consumer_lag, lag_bands, lag_summary, lag_trend
 from logflow.operators.slices import running_totals
 from logflow.plans.base import at, event_records, events_log, query, table, with_log, with_rec
-from logflow.plans.scans import BOUNDS, COMMITS, TOPICS, commits, topics_store
+from logflow.plans.scans import BOUNDS, COMMITS, TOPICS, commits, events_bounds, topics_store
 from logflow.sources.log import scan
 
 # --- joins ------------------------------------------------------------------------------------
@@ -61,11 +61,7 @@ lags AS (SELECT g.grp AS consumer_group, 'events' AS topic, b.part AS part, b.e
 
 
 def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log, saved = events_log(spark, sf_dir), commits(spark, sf_dir)
-    first, *rest = [consumer_lag(log, saved, group) for group in GROUPS]
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+    return consumer_lag(events_bounds(spark, sf_dir), commits(spark, sf_dir), *GROUPS)
 
 
 @query(
@@ -311,7 +307,7 @@ def health_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_millis(F.max("timestamp")).alias("last_poll_ms"),
         (F.count_if(F.col("event_type") == "error") / F.count("*")).alias("error_rate"),
     )
-    progress = consumer_lag(log, saved, "billing").join(polled, ["topic", "partition"])
+    progress = consumer_lag(events_bounds(spark, sf_dir), saved, "billing").join(polled, ["topic", "partition"])
     progress = progress.withColumn("rebalancing", F.col("partition") == 1)
     checked = metrics.health(progress, F.unix_millis(at("2024-01-20")), 2000, 0.21, max_idle_ms=600_000)
     return checked.select("partition", "lag", "alive", "ready")

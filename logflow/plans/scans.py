@@ -29,12 +29,15 @@ from logflow.plans.base import (
     with_rec,
 )
 from logflow.records import as_records, describe, record_metadata
-from logflow.scratch import fresh_dir
+from logflow.scratch import fresh_dir, materialize
+from logflow.sinks.commits import CommitLog
 from logflow.sinks.log import append
 from logflow.sources.log import (
+    backlog_bytes,
     bounds,
     first_k,
     from_positions,
+    group_positions,
     polls,
     resume,
     scan,
@@ -42,7 +45,7 @@ from logflow.sources.log import (
     seek_beginning,
     seek_end,
     skip_offsets,
-    start_positions,
+    store_bounds,
     stream_log,
 )
 from logflow.streaming.runs import appended_table
@@ -59,18 +62,22 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.withColumn("partition", partitioners.by_key(PARTITIONS))
 
 
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def lineitem_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem")
+    value = F.concat_ws(":", *[F.col(c).cast("string") for c in ["l_linenumber", "l_partkey", "l_suppkey"]])
+    lines = as_records(items, "lineitem", F.col("l_orderkey"), value, F.col("l_shipdate"), keep=LINE_ORDER)
+    return lines.withColumn("partition", partitioners.by_key(PARTITIONS))
+
+
 def topics_store(spark: SparkSession, sf_dir: str) -> str:
     """A store with three topics: orders, lineitem and events."""
 
     def build(path: str) -> None:
         append(order_records(spark, sf_dir).drop("o_custkey"), path, ["o_orderkey"])
-        items = table(spark, sf_dir, "lineitem")
-        parts = ["l_linenumber", "l_partkey", "l_suppkey"]
-        value = F.concat_ws(":", *[F.col(c).cast("string") for c in parts])
-        order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-        lines = as_records(items, "lineitem", F.col("l_orderkey"), value, F.col("l_shipdate"), keep=order)
-        lines = lines.withColumn("partition", partitioners.by_key(PARTITIONS))
-        append(lines, path, order)
+        append(lineitem_records(spark, sf_dir), path, LINE_ORDER)
         append(event_records(spark, sf_dir), path, ["event_id"])
 
     return staged(spark, sf_dir, "topics", build)
@@ -100,13 +107,27 @@ SUBSCRIBED_AT = "2024-01-20 00:00:00"
 AUDITED_UNTIL = "2024-01-10 00:00:00"
 
 
+def commit_log(spark: SparkSession, sf_dir: str) -> CommitLog:
+    """Progress of two groups: ``billing`` read up to 20 January; ``audit`` did, too, and was then set back to 10
+    January, and never read partition 3."""
+
+    def build(path: str) -> None:
+        log, saved = events_log(spark, sf_dir), CommitLog(spark, path)
+        before = log.where(F.col("timestamp") < at(SUBSCRIBED_AT))
+        saved.append(commit_offsets(before, "billing"))
+        saved.append(commit_offsets(before.where(F.col("partition") != 3), "audit"))
+        audited = log.where((F.col("timestamp") < at(AUDITED_UNTIL)) & (F.col("partition") != 3))
+        saved.append(commit_offsets(audited, "audit"))
+
+    return CommitLog(spark, staged(spark, sf_dir, "commits", build))
+
+
 def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress of two groups: ``billing`` read up to 20 January, ``audit`` up to 10 January and
-    never partition 3."""
-    log = events_log(spark, sf_dir)
-    billing = commit_offsets(log.where(F.col("timestamp") < at(SUBSCRIBED_AT)), "billing")
-    audited = log.where((F.col("timestamp") < at(AUDITED_UNTIL)) & (F.col("partition") != 3))
-    return billing.unionByName(commit_offsets(audited, "audit"))
+    return commit_log(spark, sf_dir).read()
+
+
+def events_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_bounds(spark, events_store(spark, sf_dir))
 
 
 COMMITS = f"""
@@ -161,7 +182,7 @@ def log_seek_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("log_seek_beginning", with_log(f"SELECT {RECORD_SQL} FROM log WHERE off < 3"))
 def log_seek_beginning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_k(seek_beginning(events_log(spark, sf_dir)), 3).select(*RECORD)
+    return first_k(seek_beginning(events_log(spark, sf_dir), events_bounds(spark, sf_dir)), 3).select(*RECORD)
 
 
 @query(
@@ -171,9 +192,9 @@ def log_seek_beginning(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def log_seek_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = events_log(spark, sf_dir)
-    after = seek_end(log).groupBy("topic", "partition").agg(F.count("*").alias("_n"))
-    return bounds(log).join(after, ["topic", "partition"], "left").select(
+    log, known = events_log(spark, sf_dir), events_bounds(spark, sf_dir)
+    after = seek_end(log, known).groupBy("topic", "partition").agg(F.count("*").alias("_n"))
+    return known.join(after, ["topic", "partition"], "left").select(
         "partition", "end_offset", F.coalesce("_n", F.lit(0)).alias("records_after_end")
     )
 
@@ -200,28 +221,17 @@ def log_seek_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def offset_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four subscriptions, one scan: the positions of all of them are joined to the log at once."""
     log, saved = events_log(spark, sf_dir), commits(spark, sf_dir)
     subscribed = bounds(log.where(F.col("timestamp") < at(SUBSCRIBED_AT)))
-    parts = []
-    for group in ("audit", "newcomer"):
-        for policy in ("earliest", "latest"):
-            starts = start_positions(log, saved, group, policy, subscribed)
-            parts.append(
-                from_positions(log, starts)
-                .groupBy("partition")
-                .agg(F.count("*").alias("records"), F.min("offset").alias("first_offset"))
-                .select(
-                    F.lit(group).alias("consumer_group"),
-                    F.lit(policy).alias("policy"),
-                    "partition",
-                    "records",
-                    "first_offset",
-                )
-            )
-    first, *rest = parts
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+    asked = [(group, policy) for group in ("audit", "newcomer") for policy in ("earliest", "latest")]
+    known = events_bounds(spark, sf_dir)
+    starts = materialize(group_positions(known, saved, asked, subscribed), "starts")
+    least = from_positions(log, starts, known).select("topic", "partition", "offset")
+    read = least.join(starts, ["topic", "partition"]).where(F.col("offset") >= F.col("start"))
+    return read.groupBy("consumer_group", "policy", "partition").agg(
+        F.count("*").alias("records"), F.min("offset").alias("first_offset")
+    )
 
 
 @query(
@@ -234,7 +244,8 @@ def offset_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def resume_from_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resume(events_log(spark, sf_dir), commits(spark, sf_dir), "audit").select(*RECORD)
+    known = events_bounds(spark, sf_dir)
+    return resume(events_log(spark, sf_dir), commits(spark, sf_dir), "audit", known=known).select(*RECORD)
 
 
 @query(
@@ -306,7 +317,8 @@ def record_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_log_scan", with_log(f"SELECT {RECORD_SQL} FROM log"))
 def stream_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = stream_log(spark, events_store(spark, sf_dir), EVENT_EXTRAS, files_per_trigger=4).select(*RECORD)
+    root = events_store(spark, sf_dir)
+    stream = stream_log(spark, root, EVENT_EXTRAS, bytes_per_trigger=backlog_bytes(spark, root)).select(*RECORD)
     return appended_table(stream, fresh_dir(spark, "scan"), fresh_dir(spark, "scan-ckpt"))
 
 
@@ -318,12 +330,13 @@ def first_k_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("union_topics", with_log(
-    "SELECT topic, key, value FROM topics WHERE topic <> 'lineitem'", TOPICS.lstrip(",\n")
+    "SELECT topic, key, value FROM topics", TOPICS.lstrip(",\n")
 ))
 def union_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = ["topic", "key", "value"]
     orders = order_records(spark, sf_dir).select(*shape)
-    return orders.unionByName(event_records(spark, sf_dir).select(*shape))
+    both = orders.unionByName(event_records(spark, sf_dir).select(*shape))
+    return both.unionByName(lineitem_records(spark, sf_dir).select(*shape))
 
 
 # --- partitioning and order -------------------------------------------------------------------

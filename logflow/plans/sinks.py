@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logflow.functions import partitioners, payloads
-from logflow.functions.parsing import is_json
-from logflow.operators.joins import first_arrivals, not_seen
+from logflow.functions.parsing import is_json, not_json
 from logflow.operators.offsets import checkpoints, recover
 from logflow.plans.base import (
     EVENT_EXTRAS,
@@ -22,11 +21,13 @@ from logflow.plans.base import (
     with_log,
     with_rec,
 )
-from logflow.plans.scans import COMMITS, commits
+from logflow.plans.scans import BOUNDS, COMMITS, commit_log
 from logflow.scratch import fresh_dir
 from logflow.sinks import log as sink
-from logflow.sources.log import read_log, stream_log
-from logflow.streaming.runs import AT_LEAST_ONCE, EXACTLY_ONCE, deliver, drain, read_batches
+from logflow.sinks.tables import KeyedTable
+from logflow.sources.log import backlog_bytes, read_log, stream_log
+from logflow.streaming.operators import first_arrivals
+from logflow.streaming.runs import AT_LEAST_ONCE, EXACTLY_ONCE, batch_folder, deliver, drain, read_batches
 
 
 @query("produce_append", with_log('SELECT part AS "partition", off AS "offset", key, event_id FROM log'))
@@ -267,10 +268,14 @@ def upsert_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_id").alias("id"), "user_id", amount.alias("amount"), F.lit(version).alias("version")
         )
 
-    target = rows(F.col("event_id") % 3 != 0, F.col("value"), 1)
+    schema = "id BIGINT, user_id BIGINT, amount DOUBLE, version INT"
+    target = KeyedTable(spark, fresh_dir(spark, "keyed"), schema, ["id"], ["version"], buckets=8)
+    target.upsert(rows(F.col("event_id") % 3 != 0, F.col("value"), 1), batch_id=0)
     batch = rows(F.col("event_id") % 2 == 0, F.col("value") + 1, 2)
-    once = sink.upsert(target, batch, ["id"], ["version"])
-    return sink.upsert(once, batch, ["id"], ["version"])  # the replayed batch changes nothing
+    target.upsert(batch, batch_id=1)
+    target.upsert(batch.withColumn("amount", F.lit(0.0)), batch_id=1)  # a repeated batch id changes nothing
+    target.upsert(rows(F.col("event_id") % 2 == 0, F.col("value") - 1, 1), batch_id=2)  # nor does an older version
+    return target.read()
 
 
 LATER = 1 << 40
@@ -312,8 +317,9 @@ dup AS (SELECT *, action || ':' || amount_text AS value,
     ).replace("\nSELECT event_id::VARCHAR", f",{DUP}\nSELECT event_id::VARCHAR"),
 )
 def event_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro-batches append only ids that neither they nor earlier batches wrote."""
-    stream = stream_log(spark, duplicates_store(spark, sf_dir), DUP_EXTRAS, files_per_trigger=5)
+    """Every micro-batch writes only ids that no batch before it had; the state store tells them."""
+    root = duplicates_store(spark, sf_dir)
+    stream = stream_log(spark, root, DUP_EXTRAS, bytes_per_trigger=backlog_bytes(spark, root))
     rows = stream.select(
         F.col("event_id").cast("string").alias("event_id"),
         "topic",
@@ -321,16 +327,10 @@ def event_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("offset").alias("log_offset"),
         F.col("value").alias("data"),
     )
+    first = first_arrivals(rows, "event_id", F.col("log_offset"), rows.columns)
     path = fresh_dir(spark, "event-table")
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        fresh = first_arrivals(df, "event_id", F.col("log_offset"), df.columns)
-        if batch_id > 0:
-            earlier = read_batches(df.sparkSession, path, df.schema).where(F.col("batch") < batch_id)
-            fresh = not_seen(fresh, earlier, "event_id")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    drain(rows.writeStream.foreachBatch(write), fresh_dir(spark, "event-table-ckpt"))
+    writer = first.writeStream.outputMode("update").foreachBatch(batch_folder(path))
+    drain(writer, fresh_dir(spark, "event-table-ckpt"))
     return read_batches(spark, path, rows.schema).drop("batch")
 
 
@@ -352,7 +352,7 @@ def codec_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def checked_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log with JSON bodies as values and an error on the broken ones."""
     bodies = events_log(spark, sf_dir).withColumn("value", F.col("body")).drop("body", "props", "num")
-    return bodies.withColumn("error", F.when(~is_json("value"), "not_json"))
+    return bodies.withColumn("error", F.when(not_json("value"), "not_json"))
 
 
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,17 +374,31 @@ def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantined(spark, sf_dir)
 
 
+REPLAY_EXTRAS = EVENT_EXTRAS + ", txn_id STRING, replay_of STRING"
+
+
 @query(
     "dlt_replay",
     with_log(
-        """SELECT topic, part AS "partition", off AS "offset", key, body || '}' AS value FROM log
-        WHERE NOT json_valid(body) AND off % 3 <> 0"""
+        """SELECT topic, part AS "partition", 'live' AS origin, off AS "offset", key, body AS value FROM log
+          WHERE json_valid(body)
+        UNION ALL
+        SELECT topic, part, part || '@' || off, e + row_number() OVER (PARTITION BY part ORDER BY off % 3 <> 0, off) - 1, key,
+          body || '}' FROM log JOIN bounds USING (part) WHERE NOT json_valid(body)""",
+        BOUNDS,
     ),
 )
 def dlt_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dlt = quarantined(spark, sf_dir)
-    done = dlt.where(F.col("offset") % 3 == 0)
-    return sink.replay(dlt, F.concat(F.col("original_value"), F.lit("}")), is_json, done)
+    """The main topic after its dead letters were repaired and written back, in two runs and an idle third one."""
+    dlt, root, state = quarantined(spark, sf_dir), fresh_dir(spark, "main"), fresh_dir(spark, "replays")
+    bodies = event_records(spark, sf_dir).withColumn("value", F.col("body")).drop("body", "props", "num")
+    sink.append(bodies, root, ["event_id"])
+    repaired = F.concat(F.col("original_value"), F.lit("}"))
+    for letters in (dlt.where(F.col("offset") % 3 == 0), dlt, dlt):
+        sink.replay_into(letters, repaired, is_json, root, state, partitioners.by_key(PARTITIONS))
+    log = sink.read_committed(read_log(spark, root, REPLAY_EXTRAS), spark.read.parquet(f"{state}/txn_log"))
+    origin = F.coalesce("replay_of", F.lit("live")).alias("origin")
+    return log.where(is_json("value")).select("topic", "partition", origin, "offset", "key", "value")
 
 
 # --- progress ---------------------------------------------------------------------------------
@@ -399,7 +413,7 @@ def dlt_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def commit_offsets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return commits(spark, sf_dir).drop("updated_at")
+    return commit_log(spark, sf_dir).latest().drop("updated_at", "sequence")
 
 
 CHECKPOINTS = """

@@ -1,15 +1,17 @@
 """Structured Streaming queries: each drains a stored log as a stream and returns the final table.
 
-A backlog is read in file order, not in time order, so the watermark delay of these runs spans the
-whole log; a live reader would set it to the disorder of its source.
+Micro-batches are sized by the store and the cluster (``backlog_bytes``).  A backlog is read in file order, not in
+time order, so these runs use no watermark; a live reader sets one that covers the disorder of its source.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import StreamingQueryException
 
-from logflow.functions.parsing import is_json
+from logflow.functions import partitioners
+from logflow.functions.parsing import not_json
 from logflow.operators import joins, statemachines
 from logflow.operators.routing import retry_decision
 from logflow.plans.analytics import (
@@ -22,26 +24,29 @@ from logflow.plans.analytics import (
 )
 from logflow.plans.base import (
     EVENT_EXTRAS,
+    PARTITIONS,
     event_records,
     events_store,
     query,
+    staged,
     with_log,
     with_rec,
 )
-from logflow.plans.scans import topics_store
+from logflow.plans.scans import TOPICS, events_bounds, topics_store
 from logflow.plans.sinks import TXN, TXN_EXTRAS, DUP_EXTRAS, duplicates_store, txn_log_frames, txn_store
 from logflow.plans.values import ERROR_NAMES, ERROR_SQL, error_name
 from logflow.scratch import fresh_dir
 from logflow.sinks import log as sink
-from logflow.sources.log import stream_log
+from logflow.sources.log import backlog_bytes, stream_log
 from logflow.streaming import operators as stream_ops
 from logflow.streaming import runs
+from logflow.streaming.retries import RetryLoop
+from logflow.streaming.watch import ProgressTable, backlog
 
-FILES = 3
-
-
-def events_stream(spark: SparkSession, sf_dir: str, files: int | None = FILES) -> DataFrame:
-    return stream_log(spark, events_store(spark, sf_dir), EVENT_EXTRAS, files_per_trigger=files)
+def events_stream(spark: SparkSession, sf_dir: str, batches: bool = True) -> DataFrame:
+    """The events' log as a stream, in one batch only where the operator orders rows over the whole log."""
+    root = events_store(spark, sf_dir)
+    return stream_log(spark, root, EVENT_EXTRAS, bytes_per_trigger=backlog_bytes(spark, root) if batches else None)
 
 
 def paths(spark: SparkSession, label: str) -> tuple[str, str]:
@@ -97,7 +102,8 @@ def stream_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_dedup", with_rec("SELECT event_id, key, action || ':' || amount_text AS value FROM rec"))
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = stream_log(spark, duplicates_store(spark, sf_dir), DUP_EXTRAS, files_per_trigger=FILES)
+    root = duplicates_store(spark, sf_dir)
+    stream = stream_log(spark, root, DUP_EXTRAS, bytes_per_trigger=backlog_bytes(spark, root))
     unique = stream_ops.dedup(stream, "event_id").select("event_id", "key", "value")
     return runs.appended_table(unique, *paths(spark, "dedup"))
 
@@ -149,7 +155,7 @@ def sequence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_sequence_dedup", SEQUENCES_SQL)
 def stream_sequence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = stream_ops.mark_duplicate_sequences(sequenced(events_stream(spark, sf_dir, files=None)))
+    marked = stream_ops.mark_duplicate_sequences(sequenced(events_stream(spark, sf_dir, batches=False)))
     return runs.appended_table(marked, *paths(spark, "sequences"))
 
 
@@ -199,7 +205,7 @@ def circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_circuit_breaker", BREAKER_SQL)
 def stream_circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = stream_ops.circuit_breaker(calls(events_stream(spark, sf_dir, files=None)))
+    states = stream_ops.circuit_breaker(calls(events_stream(spark, sf_dir, batches=False)))
     return runs.appended_table(states, *paths(spark, "breaker"))
 
 
@@ -273,35 +279,75 @@ def stop_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run()
 
 
+def resent_store(spark: SparkSession, sf_dir: str) -> str:
+    """The transactions' log, and every eleventh order's records a second time, as from a producer that retried."""
+
+    def build(path: str) -> None:
+        log = txn_log_frames(spark, sf_dir)[0].drop("partition", "offset", "slice")
+        log = log.withColumn("partition", partitioners.by_key(PARTITIONS))
+        sink.append(log, path, ["seq"])
+        sink.append(log.where(F.col("seq") % 11 == 0), path, ["seq"])
+
+    return staged(spark, sf_dir, "resent", build)
+
+
 @query(
     "exactly_once_flow",
-    f"""WITH {TXN} SELECT topic, part AS "partition", off AS "offset", key FROM txn_off
-    WHERE NOT aborted AND topic = 'orders' AND seq % 10 <> 3""",
+    f"""WITH {TXN} SELECT topic, part AS "partition", off AS "offset", key FROM txn_off WHERE NOT aborted""",
 )
 def exactly_once_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Committed orders, validated, deduplicated against earlier batches and written once.
+    """Committed records of all topics, validated, each once, although the writer dies after its first batch.
 
-    The last batch is written a second time, as after a crash between write and commit.
+    It dies between the write and the commit of the batch; the restarted query runs that batch again.
     """
-    txn_log = txn_log_frames(spark, sf_dir)[1]
-    stream = stream_log(spark, txn_store(spark, sf_dir) + "/log", TXN_EXTRAS, files_per_trigger=8)
+    root, txn_log = resent_store(spark, sf_dir), txn_log_frames(spark, sf_dir)[1]
+    stream = stream_log(spark, root, TXN_EXTRAS, bytes_per_trigger=backlog_bytes(spark, root))
+    outside, decided = stream.where(F.col("txn_id").isNull()), sink.committed_transactions(stream, txn_log)
+    valid = outside.unionByName(decided).where(F.col("key").isNotNull() & ~not_json("value"))
+    message = valid.withColumn("message_id", F.concat_ws("-", "topic", F.col("seq").cast("string")))
+    columns = ["message_id", "topic", "partition", "offset", "key"]
+    first = stream_ops.first_arrivals(message, "message_id", F.col("offset"), columns)
     path, checkpoint = paths(spark, "once")
-    last: dict[str, object] = {}
-    columns = ["topic", "partition", "offset", "key"]
+    write, crashes = runs.batch_folder(path), [0]
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        visible = sink.read_committed(df.where(F.col("topic") == "orders"), txn_log)
-        valid = visible.where(F.col("seq") % 10 != 3).select(*columns)
-        fresh = joins.first_arrivals(valid, "key", F.col("offset"), columns).select(*columns)
-        if batch_id > 0:
-            earlier = runs.read_batches(spark, path, fresh.schema).where(F.col("batch") < batch_id)
-            fresh = joins.not_seen(fresh, earlier, "key").select(*columns)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")  # the batch, run again
-        last["schema"] = fresh.schema
+    def write_and_die(df: DataFrame, batch_id: int) -> None:
+        write(df, batch_id)
+        if crashes and crashes.pop() == batch_id:
+            raise RuntimeError("died before the commit")
 
-    runs.drain(stream.writeStream.foreachBatch(write), checkpoint)
-    return runs.read_batches(spark, path, last["schema"]).select(*columns)
+    for sink_function in (write_and_die, write):
+        try:
+            runs.drain(first.writeStream.outputMode("update").foreachBatch(sink_function), checkpoint)
+        except StreamingQueryException as error:
+            if "died before the commit" not in str(error):
+                raise
+    return runs.read_batches(spark, path, first.schema).select("topic", "partition", "offset", "key")
+
+
+@query(
+    "retry_loop",
+    f"WITH {ERROR_SQL}"
+    + with_log(
+        """SELECT event_id, outcome, attempt, (epoch_us(ts) // 1000) + 100 * (power(2, attempt - 1) - 1)::BIGINT AS due_ms
+        FROM (SELECT event_id, ts, CASE WHEN fails = 0 OR (retriable AND fails < 3) THEN 'done' ELSE 'dlt' END AS outcome,
+            CASE WHEN fails > 0 AND NOT retriable THEN 1 ELSE least(fails + 1, 3) END::INTEGER AS attempt
+          FROM (SELECT *, CASE WHEN event_type = 'error' THEN event_id % 5 ELSE 0 END AS fails FROM log) l
+          JOIN error_names ON idx = event_id % """
+        + str(len(ERROR_NAMES))
+        + ")"
+    ).replace("WITH ", ", ", 1),
+)
+def retry_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing records until they are done or dead: those of error events fail up to four times."""
+    stream = events_stream(spark, sf_dir).select("event_id", "event_type", "timestamp")
+    still = (F.col("event_type") == "error") & (F.col("attempt") <= F.col("event_id") % 5)
+
+    def handle(df: DataFrame) -> DataFrame:
+        return df.withColumn("error", F.when(still, error_name()))
+
+    loop = RetryLoop(stream, handle, *paths(spark, "retry-loop"))
+    ended = loop.finished(loop.run())
+    return ended.select("event_id", "outcome", "attempt", F.unix_millis("timestamp").alias("due_ms"))
 
 
 @query(
@@ -316,7 +362,7 @@ def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = paths(spark, "dlt")
 
     def outcome(df: DataFrame) -> DataFrame:
-        return df.withColumn("outcome", F.when(is_json(), "main").otherwise("dlt"))
+        return df.withColumn("outcome", F.when(not_json(), "dlt").otherwise("main"))
 
     runs.drain(stream.writeStream.foreachBatch(stream_ops.split_batches(path, outcome, "outcome")), checkpoint)
     return spark.read.parquet(path).select("outcome", "partition", "offset", "key", "value")
@@ -324,15 +370,14 @@ def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "parallel_streams",
-    """SELECT 'orders' AS topic, count(*) AS records FROM orders
-    UNION ALL SELECT 'events', count(*) FROM events""",
+    with_log("SELECT topic, part AS \"partition\", off AS \"offset\", key FROM topics WHERE topic <> 'lineitem'", TOPICS.lstrip(",\n")),
 )
 def parallel_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two topics consumed at the same time by two queries with their own progress."""
     root, started = topics_store(spark, sf_dir), []
     for topic in ("orders", "events"):
         path, checkpoint = paths(spark, f"parallel-{topic}")
-        stream = stream_log(spark, root, files_per_trigger=FILES).where(F.col("topic") == topic)
+        stream = stream_log(spark, root, bytes_per_trigger=backlog_bytes(spark, root), topics=[topic])
         stream = stream.select("topic", "partition", "offset", "key")
         writer = stream.writeStream.format("parquet").option("path", path)
         started.append(
@@ -342,25 +387,34 @@ def parallel_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     for running, path, schema in started:
         runs.finish(running)
         tables.append(spark.read.schema(schema).parquet(path))
-    return tables[0].unionByName(tables[1]).groupBy("topic").agg(F.count("*").alias("records"))
+    return tables[0].unionByName(tables[1])
 
 
-@query("stream_progress", "SELECT count(*) AS input_rows, true AS timed FROM events")
+@query(
+    "stream_progress",
+    "SELECT count(*) AS input_rows, 0::BIGINT AS backlog, true AS several_batches FROM events",
+)
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch's report from a table that a listener writes: the rows read, and what was left after the last one."""
     stream = events_stream(spark, sf_dir).select("partition", "offset", "key")
+    waiting = events_bounds(spark, sf_dir).agg(F.sum(F.col("end_offset") - F.col("begin_offset"))).first()[0]
     path, checkpoint = paths(spark, "progress")
-    writer = stream.writeStream.format("parquet").option("path", path)
-    progress = runs.progress_table(spark, runs.drain(writer, checkpoint))
-    return progress.agg(
+    reports = ProgressTable(spark, fresh_dir(spark, "reports"))
+    try:
+        reports.wait(runs.drain(stream.writeStream.format("parquet").option("path", path), checkpoint))
+    finally:
+        reports.close()
+    return backlog(reports.read(), waiting).agg(
         F.sum("input_rows").alias("input_rows"),
-        F.every((F.col("duration_ms") > 0) & (F.col("processed_rows_per_sec") >= 0)).alias("timed"),
+        F.min("backlog").alias("backlog"),
+        (F.count("*") > 1).alias("several_batches"),
     )
 
 
 @query("stream_static_enrich", ENRICH_SQL)
 def stream_static_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = topics_store(spark, sf_dir)
-    stream = stream_log(spark, root, "o_orderkey BIGINT").where(F.col("topic") == "orders")
+    stream = stream_log(spark, root, "o_orderkey BIGINT", topics=["orders"])
     orders = stream.select("o_orderkey", F.col("key").cast("bigint").alias("o_custkey"))
     customers = known_customers(spark, sf_dir)
     enriched = joins.enrich_with_fallback(orders, customers, "o_custkey", "c_custkey", CUSTOMER_FALLBACK)

@@ -19,7 +19,7 @@ from logflow.plans.base import (
     with_log,
     with_rec,
 )
-from logflow.plans.scans import SUBSCRIBED_AT
+from logflow.plans.scans import SUBSCRIBED_AT, events_bounds
 from logflow.sources.log import bounds, from_positions, start_positions
 
 
@@ -58,9 +58,10 @@ def _filtered_from(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
     nobody = spark.createDataFrame(
         [], "consumer_group STRING, topic STRING, partition INT, offset BIGINT"
     )
-    starts = start_positions(log, nobody, "new", policy, subscribed)
+    known = events_bounds(spark, sf_dir)
+    starts = start_positions(log, nobody, "new", policy, subscribed, known)
     wanted = parsing.has_type("ORDER") & parsing.mentions("US")
-    texts = from_positions(log, starts).withColumn("value", text_value())
+    texts = from_positions(log, starts, known).withColumn("value", text_value())
     return texts.where(wanted).select("partition", "offset", "value")
 
 

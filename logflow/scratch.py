@@ -38,3 +38,10 @@ def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = fresh_dir(spark, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files under a folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hadoop).getLength()

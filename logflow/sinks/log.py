@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,8 +12,11 @@ from pyspark.sql.utils import AnalysisException
 
 from logflow.operators.offsets import assign_offsets
 from logflow.operators.slices import SLICE_WIDTH
-from logflow.records import RECORD_SCHEMA
-from logflow.sources.log import bounds, with_extras
+from logflow.records import empty_headers
+from logflow.scratch import folder_bytes, materialize
+from logflow.sinks.tables import newest
+from logflow.sources.log import bounds, end_index, slice_name, slice_number, with_extras
+from logflow.versions import VersionConflict
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -35,14 +39,35 @@ def append(
 ) -> None:
     """Append produced records (with ``partition`` set) to a log store; offsets continue per partition.
 
-    One writer per log at a time: the end offsets are read before the write, from the offset column
-    of the store.  A writer that keeps them (topic, partition, end_offset) passes ``ends`` instead.
+    The store's index hands out the offsets: a writer adds its records per partition to the end offsets and publishes
+    them before it writes.  So an append reads no data file, and two writers never get the same offset: the one that
+    publishes second starts again from the other's ends.  A writer that dies after publishing leaves a gap.
+    ``ends`` (topic, partition, end_offset) are the least offsets to go on from.  The records are read twice, so they
+    must come out the same.  Rows are clustered by partition and slice, sorted by offset.
     """
     spark = records.sparkSession
-    if ends is None and exists(spark, root):
-        ends = bounds(spark.read.schema(with_extras()).parquet(root))
-    assigned = assign_offsets(records, order, ends, width=width)
-    assigned.write.mode("append").partitionBy("topic", "partition").parquet(root)
+    index = end_index(spark, root)
+    counts = {(r[0], r[1]): r[2] for r in records.groupBy("topic", "partition").count().collect()}
+    given = {} if ends is None else {(r[0], r[1]): r[2] for r in ends.select("topic", "partition", "end_offset").collect()}
+    while True:
+        version, state = index.latest()
+        known = {(topic, p): end for topic, p, end in state.get("ends", [])}
+        if not version and ends is None and exists(spark, root):  # written by something without an index
+            known = {(r[0], r[1]): r[3] for r in bounds(spark.read.schema(with_extras()).parquet(root)).collect()}
+        first = {place: max(known.get(place, 0), given.get(place, 0)) for place in {*known, *given}}
+        after = first | {place: first.get(place, 0) + n for place, n in counts.items()}
+        try:
+            index.publish(version, {"ends": sorted([*place, end] for place, end in after.items())})
+            break
+        except VersionConflict:
+            continue
+    # Only partitions that already have records: the others start at 0.
+    begins = [(*place, first[place]) for place in counts if first.get(place)]
+    begins = spark.createDataFrame(begins, "topic STRING, partition INT, end_offset BIGINT") if begins else None
+    assigned = assign_offsets(records, order, begins, width=width).withColumn("slice", slice_name(slice_number()))
+    folders = ["topic", "partition", "slice"]
+    clustered = assigned.hint("rebalance", *folders).sortWithinPartitions(*folders, "offset")
+    clustered.write.mode("append").partitionBy(*folders).parquet(root)
 
 
 def produce(
@@ -61,9 +86,12 @@ def produce(
 
 def reset_topic(spark: SparkSession, root: str, topic: str) -> None:
     """Leave the topic empty: its folder is overwritten with no rows, other topics are untouched."""
-    rest = T.StructType([f for f in RECORD_SCHEMA.fields if f.name != "topic"])
+    rest = T.StructType([f for f in with_extras().fields if f.name != "topic"])
     nothing = spark.createDataFrame([], rest)
-    nothing.write.mode("overwrite").partitionBy("partition").parquet(f"{root}/topic={topic}")
+    nothing.write.mode("overwrite").partitionBy("partition", "slice").parquet(f"{root}/topic={topic}")
+    index = end_index(spark, root)
+    version, state = index.latest()
+    index.publish(version, {"ends": [end for end in state.get("ends", []) if end[0] != topic]})
 
 
 def send_report(
@@ -133,25 +161,66 @@ def dead_letter_records(dlt: DataFrame, topic: str) -> DataFrame:
 
 
 def replay(
-    dlt: DataFrame, repair: Column, valid: Callable[[str], Column], replayed: DataFrame | None = None
+    dlt: DataFrame,
+    repair: Column,
+    valid: Callable[[str], Column],
+    replayed: DataFrame | None = None,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Repaired dead letters that now pass ``valid``, minus those already replayed."""
     place = ["topic", "partition", "offset"]
     fixed = dlt.withColumn("value", repair).where(F.coalesce(valid("value"), F.lit(False)))
     if replayed is not None:
         fixed = fixed.join(replayed.select(*place), place, "left_anti")
-    return fixed.select(*place, F.col("original_key").alias("key"), "value")
+    return fixed.select(*place, F.col("original_key").alias("key"), "value", *(carry or []))
+
+
+def replay_into(
+    dlt: DataFrame, repair: Column, valid: Callable[[str], Column], root: str, state: str, partitioner: Column
+) -> str | None:
+    """Write repaired dead letters back to their topics, each once; returns the transaction's id, None without any.
+
+    One transaction appends the records to the log, then the places of the dead letters to the ledger under
+    ``state``, then its commit.  A run that dies before the commit leaves records that no committed reader sees and
+    ledger rows that count for nothing, so the next run replays the same letters; a run after it adds none.
+    Records carry ``txn_id`` and ``replay_of``, the partition and offset that the dead letter came from.
+    """
+    spark = dlt.sparkSession
+    txn_id = f"replay-{uuid.uuid4().hex[:12]}"
+    fixed = replay(dlt, repair, valid, replayed(spark, state), carry=["timestamp_ms"])
+    fixed = materialize(fixed.withColumn("txn_id", F.lit(txn_id)), "replay")
+    if fixed.isEmpty():
+        return None
+    records = fixed.select(
+        "topic",
+        "key",
+        "value",
+        F.timestamp_millis("timestamp_ms").alias("timestamp"),
+        empty_headers().alias("headers"),
+        "txn_id",
+        F.format_string("%d@%d", "partition", "offset").alias("replay_of"),
+        F.col("offset").alias("_order"),
+    )
+    append(records.withColumn("partition", partitioner), root, ["_order", "replay_of"])
+    fixed.select("topic", "partition", "offset", "txn_id").write.mode("append").parquet(f"{state}/ledger")
+    committed = spark.createDataFrame([(txn_id, "committed")], "txn_id STRING, status STRING")
+    committed.write.mode("append").parquet(f"{state}/txn_log")
+    return txn_id
+
+
+def replayed(spark: SparkSession, state: str) -> DataFrame | None:
+    """Places of the dead letters that committed replays have written back; None before the first."""
+    if not (exists(spark, f"{state}/ledger") and exists(spark, f"{state}/txn_log")):
+        return None
+    return committed_transactions(spark.read.parquet(f"{state}/ledger"), spark.read.parquet(f"{state}/txn_log"))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
     """Insert or overwrite by key; the highest version wins, so a replay changes nothing.
 
-    Returns the new table: write it as the next version of the target, not over its own input.
+    A function of two frames; ``tables.KeyedTable`` is the stored table with this rule.
     """
-    rest = [c for c in target.columns if c not in keys]
-    both = target.unionByName(batch.select(*target.columns))
-    newest = F.max_by(F.struct(*rest), F.struct(*version))
-    return both.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*target.columns)
+    return newest(target.unionByName(batch.select(*target.columns)), keys, version)
 
 
 # --- transactions -----------------------------------------------------------------------------
@@ -236,12 +305,6 @@ MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 CODECS = ["none", "gzip", "snappy", "lz4", "zstd"]
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(hadoop).getLength()
-
-
 def codec_report(df: DataFrame, root: str, codecs: list[str] | None = None) -> DataFrame:
     """Write the same rows with each codec and compare the folder sizes."""
     spark = df.sparkSession

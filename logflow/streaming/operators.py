@@ -54,10 +54,9 @@ def _windowed(stream, window, delay, aggregates, keys, ts) -> DataFrame:
 
 
 def balances(stream: DataFrame) -> DataFrame:
-    """Balance per key as running state."""
-    return parse_action(stream).groupBy("key").agg(
-        F.sum(F.when(F.col("error").isNull(), balance_delta()).otherwise(F.lit(0))).alias("balance")
-    )
+    """Balance per key as running state; records that do not parse count for nothing, as in the batch operator."""
+    parsed = parse_action(stream).where(F.col("error").isNull())
+    return parsed.groupBy("key").agg(F.sum(balance_delta()).alias("balance"))
 
 
 def dedup(stream: DataFrame, key: str, delay: str | None = None, ts: str = "timestamp") -> DataFrame:
@@ -67,6 +66,20 @@ def dedup(stream: DataFrame, key: str, delay: str | None = None, ts: str = "time
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+def first_arrivals(stream: DataFrame, key: str, order: Column, columns: list[str]) -> DataFrame:
+    """The first row of every id, for update mode: a later copy, in whatever batch, is not emitted again.
+
+    The state store keeps one row per id, so a micro-batch looks up its own ids and never reads earlier output.  Of
+    copies in one batch the one with the least ``order`` counts.  An id is new if the batch that updates it is the
+    one that brought it; a batch that is run again keeps its time and so emits the same rows.
+    """
+    rest = [c for c in columns if c != key]
+    seen = stream.withColumn("_batch", F.current_timestamp()).groupBy(key).agg(
+        F.min_by(F.struct(*rest), order).alias("_row"), F.min("_batch").alias("_first"), F.max("_batch").alias("_last")
+    )
+    return seen.where("_first = _last").select(key, "_row.*").select(*columns)
+
+
 def stateful(stream: DataFrame, keys: list[str], order: str, machine: Machine) -> DataFrame:
     """Run a state machine per key over the stream; the state lives in the state store.
 

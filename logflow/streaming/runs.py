@@ -106,22 +106,3 @@ def deliver(stream: DataFrame, path: str, checkpoint: str, mode: str) -> Streami
     else:
         raise ValueError(f"unknown delivery mode {mode!r}")
     return drain(stream.writeStream.foreachBatch(sink), checkpoint)
-
-
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The query's recent progress reports as rows."""
-    rows = [
-        (
-            int(p["batchId"]),
-            int(p["numInputRows"]),
-            float(p.get("inputRowsPerSecond") or 0.0),
-            float(p.get("processedRowsPerSecond") or 0.0),
-            int(p["durationMs"].get("triggerExecution", 0)),
-        )
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(
-        rows,
-        "batch BIGINT, input_rows BIGINT, input_rows_per_sec DOUBLE, processed_rows_per_sec DOUBLE, "
-        "duration_ms BIGINT",
-    )

@@ -11,6 +11,7 @@ from logflow.operators import eventsourcing as es
 from logflow.operators import metrics, offsets, routing, windows
 from logflow.records import as_records, describe, record_metadata
 from logflow.sinks import log as sink
+from logflow.sources import log as source
 
 
 def values(spark, *texts, name="value"):
@@ -239,7 +240,7 @@ def test_lag_trend(spark):
 def test_lag_without_commit_counts_from_the_first_record(spark):
     log = spark.createDataFrame([("t", 0, o) for o in range(5, 9)] + [("t", 1, 0)], "topic STRING, partition INT, offset BIGINT")
     commits = spark.createDataFrame([("g", "t", 1, 1)], "consumer_group STRING, topic STRING, partition INT, offset BIGINT")
-    got = {r.partition: (r.committed, r.lag) for r in offsets.consumer_lag(log, commits, "g").collect()}
+    got = {r.partition: (r.committed, r.lag) for r in offsets.consumer_lag(source.bounds(log), commits, "g").collect()}
     assert got == {0: (5, 4), 1: (1, 0)}
 
 

@@ -173,7 +173,7 @@ def test_commits_and_checkpoints(spark, store):
     assert {r.offset for r in saved.collect()} == {10}
     later = saved.unionByName(offsets.commit_offsets(log, "g"))
     ends = {r.partition: r.end_offset for r in source.bounds(log).collect()}
-    assert {r.partition: r.offset for r in offsets.latest_commits(later).collect()} == ends
+    assert {r.partition: r.offset for r in source.newest_commits(later).collect()} == ends
     points = offsets.checkpoints(log, "g", 7, F.lit(2), width=2)
     assert points.where(F.col("state_sum") != F.col("state_count") * 2).isEmpty()
     last = offsets.recover(points)
