@@ -48,12 +48,21 @@ class Tree:
         return below[[band for band, _ in self.leaves]].T
 
 
-def search_shard(docs: pa.Table, queries: pa.Table, k: int, factor: float, leaf_rows: int) -> pa.Table:
-    """The k nearest rows found in this shard for each query of this block."""
-    if not docs.num_rows or not queries.num_rows:
-        return SCHEMA.empty_table()
-    ids, asked = docs["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-    v, q = same_width(matrix(docs["v"]), matrix(queries["v"]))
+#: Candidates kept beyond the k best while scores are rounded products.
+SPARE = 8
+
+
+def distinct_rows(v: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Each vector once, and the ``most`` smallest ids that have it."""
+    whole = np.ascontiguousarray(v).view(np.dtype((np.void, v.dtype.itemsize * max(1, v.shape[1])))).ravel()
+    _, first, of = np.unique(whole, return_index=True, return_inverse=True)
+    order = np.lexsort((ids, of))
+    own = np.split(ids[order], np.searchsorted(of[order], np.arange(1, len(first))))
+    return v[first], [i[:most] for i in own]
+
+
+def leaves_and_bounds(v: np.ndarray, q: np.ndarray, factor: float, leaf_rows: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Leaves of rows, and for each query and leaf the largest product that the leaf can hold, if ``factor`` is 1."""
     lengths, asked_lengths = np.sqrt((v**2).sum(1)), np.sqrt((q**2).sum(1))
     # Rows of similar length share a tree, so that one long row does not blur the distances of all others.
     leaves, most = [], []
@@ -67,21 +76,58 @@ def search_shard(docs: pa.Table, queries: pa.Table, k: int, factor: float, leaf_
         below = np.maximum(below - 1e-7 * longest, 0) * factor  # less what rounding can add
         most.append((longest - below**2 / (2 * longest)) * asked_lengths[:, None])
         leaves += [own[rows] for _, rows in tree.leaves]
-    most = np.concatenate(most, 1)  # the largest product that a leaf can hold, if factor is 1
+    return leaves, np.concatenate(most, 1)
+
+
+def search_shard(
+    docs: pa.Table, queries: pa.Table, k: int, factor: float, leaf_rows: int, seen: list[int] | None = None
+) -> pa.Table:
+    """The k nearest rows found in this shard for each query of this block.
+
+    Leaves are visited in rounds, a query's most promising ones first, each leaf by all queries that it may still
+    serve at once.  ``seen`` gets the number of pairs scored and of all pairs.
+    """
+    if not docs.num_rows or not queries.num_rows:
+        return SCHEMA.empty_table()
+    asked = queries["vec_id"].to_numpy()
+    v, q = same_width(matrix(docs["v"]), matrix(queries["v"]))
+    v, ids = distinct_rows(v, docs["vec_id"].to_numpy(), k + 1)
+    leaves, most = leaves_and_bounds(v, q, factor, leaf_rows)
+    rounding = 1e-9 * np.sqrt((v**2).sum(1)).max() * np.sqrt((q**2).sum(1))
+    kept = min(len(v), k + 1 + SPARE)
+    scores, rows = np.full((len(q), kept), -np.inf), np.zeros((len(q), kept), np.int64)
+    # The k-th hit is no worse than this: one of the k + 1 best vectors may be the query's own.
+    kth = np.full(len(q), -np.inf)
+    rank = np.argsort(np.argsort(-most, axis=1, kind="stable"), axis=1)
+    scored, start = 0, 0
+    while start < len(leaves):
+        stop = max(2 * start, len(leaves) // 16 + 1)
+        for leaf, own in enumerate(leaves):
+            turn = (rank[:, leaf] >= start) & (rank[:, leaf] < stop) & (most[:, leaf] >= kth - rounding)
+            turn = np.flatnonzero(turn)
+            if not len(turn):
+                continue
+            scored += len(turn) * len(own)
+            both = np.concatenate([scores[turn], q[turn] @ v[own].T], axis=1)
+            names = np.concatenate([rows[turn], np.broadcast_to(own, (len(turn), len(own)))], axis=1)
+            best = np.argpartition(-both, kept - 1, axis=1)[:, :kept]
+            scores[turn], rows[turn] = np.take_along_axis(both, best, 1), np.take_along_axis(names, best, 1)
+            if kept > k:
+                kth[turn] = np.partition(scores[turn], kept - k - 1, axis=1)[:, kept - k - 1]
+        start = stop
+    if seen is not None:
+        seen += [scored, len(q) * len(v)]
     out = []
     for i, own in enumerate(asked):
-        found, scores = np.zeros(0, np.int64), np.zeros(0)
-        for leaf in np.argsort(-most[i], kind="stable"):
-            if len(found) == k and most[i, leaf] < scores[-1]:
-                break
-            rows = leaves[leaf]
-            new, value = ids[rows], (v[rows] * q[i]).sum(1)
-            if (new == own).any():
-                new, value = new[new != own], value[new != own]
-            found, scores = np.concatenate([found, new]), np.concatenate([scores, value])
-            best = np.lexsort((found, -scores))[:k]
-            found, scores = found[best], scores[best]
-        out.append((np.full(len(found), own), found, scores))
+        near = rows[i][scores[i] >= kth[i] - 2 * rounding[i]]
+        if kept < len(v) and len(near) == kept:  # more ties than are kept: look at all rows
+            near = np.flatnonzero(v @ q[i] >= kth[i] - 2 * rounding[i])
+        value = (v[near] * q[i]).sum(1)
+        found = np.concatenate([ids[r] for r in near]) if len(near) else np.zeros(0, np.int64)
+        value = np.repeat(value, [len(ids[r]) for r in near])
+        found, value = found[found != own], value[found != own]
+        best = np.lexsort((found, -value))[:k]
+        out.append((np.full(len(best), own), found[best], value[best]))
     ids_out = [pa.array(np.concatenate(c).astype(np.int64)) for c in list(zip(*out, strict=True))[:2]]
     return pa.table([*ids_out, pa.array(np.concatenate([s for _, _, s in out]))], schema=SCHEMA)
 
@@ -94,8 +140,8 @@ def nearest(
     embeddings: DataFrame,
     k: int = 20,
     every: int = 20,
-    factor: float = 2.0,
-    shard_rows: int = 4096,
+    factor: float = 6.0,
+    shard_rows: int = 16_384,
     query_rows: int = 4096,
     leaf_rows: int = 32,
 ) -> DataFrame:
@@ -104,6 +150,7 @@ def nearest(
     Queries are the rows whose vec_id is divisible by ``every``.  Every row is in the tree of its shard, and every
     shard is asked.  A leaf is left out if the distance that the triangle inequality leaves it, times ``factor``,
     is more than the k-th nearest found so far: with factor 1 the search is exact, larger ones leave out more.
+    Where vectors have no structure at all, distances hardly differ, and even large factors leave out little.
 
     Vectors that are null, zero or hold null or non-finite components, and rows without a vec_id, take no part.
     Shorter vectors count as padded with zeros.  Rows with the query's own id are no candidates; other repeated
