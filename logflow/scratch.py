@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_recorders: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -29,7 +32,29 @@ def scratch_root(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder (not created yet)."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    for made in _recorders:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths that ``fresh_dir`` gives out inside."""
+    made: list[str] = []
+    _recorders.append(made)
+    try:
+        yield made
+    finally:
+        _recorders.remove(made)
+
+
+def release(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete working folders that no frame reads any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(conf).delete(hadoop, True)
 
 
 def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
