@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from logflow.scratch import fresh_dir
+from logflow.scratch import fresh_dir, release
 from logflow.session import ship_package
 
 #: Spark's own limit for buckets is twice this; more chunks share buckets.
@@ -49,10 +48,23 @@ def store_chunks(documents: DataFrame, chunk_bytes: int) -> DataFrame:
 
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
     schema = rows.withColumns({"rid": F.lit(0).cast("long"), "chunk": F.lit(0).cast("long")}).schema
-    name = f"chunks_{uuid.uuid4().hex}"
+    path = fresh_dir(spark, "chunks")
     writer = rows.mapInArrow(number, schema).write.bucketBy(min(buckets, MOST_BUCKETS), "chunk")
-    writer.option("compression", "zstd").option("path", fresh_dir(spark, "chunks")).saveAsTable(name)
-    return spark.table(name)
+    writer.option("compression", "zstd").option("path", path).saveAsTable(table_name(path))
+    return spark.table(table_name(path))
+
+
+def table_name(path: str) -> str:
+    """The catalog's name of stored chunks."""
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+def release_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete working folders that no frame reads any more, and the catalog's entries of stored chunks among them."""
+    for path in paths:
+        if path.rsplit("/", 1)[1].startswith("chunks-"):
+            spark.sql(f"DROP TABLE IF EXISTS {table_name(path)}")
+    release(spark, paths)
 
 
 def without_rows(store: DataFrame, gone: DataFrame, schema: StructType) -> DataFrame:

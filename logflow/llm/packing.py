@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,6 +20,11 @@ from logflow.session import ship_package
 #: Fixed value: the pattern that splits text before merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Fixed value: white space of the pattern above.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Longer runs of white space are encoded apart: the pattern looks ahead once for every character of a run.
+LONG_RUN = 10_000
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, uid long"
 
 
@@ -38,7 +44,21 @@ def byte_level_encoder(vocabulary: str):
     vocab = data["model"]["vocab"].items()
     ranks = {bytes(byte_of[c] for c in word): i for word, i in vocab if word not in special}
     bpe = tiktoken.Encoding("byte_level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: bpe.encode_to_numpy(text, allowed_special="all")
+    one_piece = tiktoken.Encoding("one_piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    long_run = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
+
+    def encode(text: str) -> np.ndarray:
+        out, at = [], 0
+        for run in long_run.finditer(text):
+            # The pattern gives a run to one piece, but for its last character where a word follows.
+            end = run.end() - (run.end() < len(text) and not text.startswith(tuple(special), run.end()))
+            out.append(bpe.encode_to_numpy(text[at : run.start()], allowed_special="all"))
+            out.append(one_piece.encode_to_numpy(text[run.start() : end]))
+            at = end
+        out.append(bpe.encode_to_numpy(text[at:], allowed_special="all"))
+        return np.concatenate(out) if len(out) > 1 else out[0]
+
+    return encode
 
 
 def cuts(length: int, capacity: int, parts: int) -> list[int]:

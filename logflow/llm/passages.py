@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logflow.llm.chunks import store_chunks
-from logflow.llm.common import mixed, rolling, word_hashes
+from logflow.llm.common import rolling, word_hashes
 from logflow.scratch import materialize
 from logflow.session import ship_package
 
@@ -51,8 +51,8 @@ class Anchors:
         self.places = place[self.starts]
 
     def wide(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent 64-bit hashes of each slice of words."""
-        return rolling(self.hashes, starts, ends), rolling(mixed(self.hashes + np.uint64(1)), starts, ends)
+        """Two 64-bit hashes of each slice of words, from independent hashes of the words."""
+        return rolling(self.hashes, starts, ends), rolling(word_hashes(self.words, seed=1), starts, ends)
 
 
 def find_phrases(texts: list[Anchors], marked: np.ndarray, phrase: int) -> Iterator[np.ndarray]:
