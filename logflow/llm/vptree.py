@@ -50,6 +50,8 @@ class Tree:
 
 #: Candidates kept beyond the k best while scores are rounded products.
 SPARE = 8
+#: More than a product of two vectors can be off, as a share of the product of their lengths.
+ROUNDING = 1e-9
 
 
 def distinct_rows(v: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -74,7 +76,7 @@ def leaves_and_bounds(v: np.ndarray, q: np.ndarray, factor: float, leaf_rows: in
         tree = Tree(np.column_stack([v[own], np.sqrt(np.maximum(longest**2 - lengths[own] ** 2, 0))]), leaf_rows)
         below = tree.bounds(np.column_stack([q * (longest / asked_lengths)[:, None], np.zeros(len(q))]))
         below = np.maximum(below - 1e-7 * longest, 0) * factor  # less what rounding can add
-        most.append((longest - below**2 / (2 * longest)) * asked_lengths[:, None])
+        most.append((longest * (1 + ROUNDING) - below**2 / (2 * longest)) * asked_lengths[:, None])
         leaves += [own[rows] for _, rows in tree.leaves]
     return leaves, np.concatenate(most, 1)
 
@@ -93,17 +95,17 @@ def search_shard(
     v, q = same_width(matrix(docs["v"]), matrix(queries["v"]))
     v, ids = distinct_rows(v, docs["vec_id"].to_numpy(), k + 1)
     leaves, most = leaves_and_bounds(v, q, factor, leaf_rows)
-    rounding = 1e-9 * np.sqrt((v**2).sum(1)).max() * np.sqrt((q**2).sum(1))
+    lengths, asked_lengths = ROUNDING * np.sqrt((v**2).sum(1)), np.sqrt((q**2).sum(1))
     kept = min(len(v), k + 1 + SPARE)
     scores, rows = np.full((len(q), kept), -np.inf), np.zeros((len(q), kept), np.int64)
-    # The k-th hit is no worse than this: one of the k + 1 best vectors may be the query's own.
+    # The k-th hit is no worse than this, whatever the rounding: one of the k + 1 best vectors may be the query's own.
     kth = np.full(len(q), -np.inf)
     rank = np.argsort(np.argsort(-most, axis=1, kind="stable"), axis=1)
     scored, start = 0, 0
     while start < len(leaves):
         stop = max(2 * start, len(leaves) // 16 + 1)
         for leaf, own in enumerate(leaves):
-            turn = (rank[:, leaf] >= start) & (rank[:, leaf] < stop) & (most[:, leaf] >= kth - rounding)
+            turn = (rank[:, leaf] >= start) & (rank[:, leaf] < stop) & (most[:, leaf] >= kth)
             turn = np.flatnonzero(turn)
             if not len(turn):
                 continue
@@ -113,15 +115,16 @@ def search_shard(
             best = np.argpartition(-both, kept - 1, axis=1)[:, :kept]
             scores[turn], rows[turn] = np.take_along_axis(both, best, 1), np.take_along_axis(names, best, 1)
             if kept > k:
-                kth[turn] = np.partition(scores[turn], kept - k - 1, axis=1)[:, kept - k - 1]
+                sure = scores[turn] - lengths[rows[turn]] * asked_lengths[turn, None]
+                kth[turn] = np.partition(sure, kept - k - 1, axis=1)[:, kept - k - 1]
         start = stop
     if seen is not None:
         seen += [scored, len(q) * len(v)]
     out = []
     for i, own in enumerate(asked):
-        near = rows[i][scores[i] >= kth[i] - 2 * rounding[i]]
+        near = rows[i][scores[i] + lengths[rows[i]] * asked_lengths[i] >= kth[i]]
         if kept < len(v) and len(near) == kept:  # more ties than are kept: look at all rows
-            near = np.flatnonzero(v @ q[i] >= kth[i] - 2 * rounding[i])
+            near = np.flatnonzero(v @ q[i] + lengths * asked_lengths[i] >= kth[i])
         value = (v[near] * q[i]).sum(1)
         found = np.concatenate([ids[r] for r in near]) if len(near) else np.zeros(0, np.int64)
         value = np.repeat(value, [len(ids[r]) for r in near])
@@ -136,11 +139,34 @@ def nonzero_vector(v):
     return finite_vector(v) & F.exists(v, lambda x: x != 0)
 
 
+#: Factors to choose from, and the sample that decides: rows, queries, and the recall that it has to show.
+FACTORS = [8.0, 6.0, 4.0, 3.0, 2.0, 1.5, 1.0]
+SAMPLE_ROWS, SAMPLE_QUERIES, SAMPLE_RECALL = 4096, 64, 0.97
+
+
+def tuned_factor(rows: DataFrame, k: int, leaf_rows: int) -> float:
+    """The largest of FACTORS with a recall of SAMPLE_RECALL among SAMPLE_ROWS rows chosen by hash.
+
+    Vectors with many equally important components stand a large factor, those with few lose their neighbours by it.
+    """
+    order = F.xxhash64("vec_id", "v")
+    sample = rows.orderBy(order, "vec_id").limit(SAMPLE_ROWS).toArrow()
+    if not sample.num_rows:
+        return FACTORS[-1]
+    asked = sample.slice(0, SAMPLE_QUERIES)
+    hits = {}
+    for factor in [*reversed(FACTORS)]:
+        found = search_shard(sample, asked, k, factor, leaf_rows).to_pydict()
+        hits[factor] = set(zip(found["query_id"], found["vec_id"], strict=True))
+    right = hits[1.0]
+    return next(f for f in FACTORS if len(hits[f] & right) >= SAMPLE_RECALL * len(right))
+
+
 def nearest(
     embeddings: DataFrame,
     k: int = 20,
     every: int = 20,
-    factor: float = 6.0,
+    factor: float | None = None,
     shard_rows: int = 16_384,
     query_rows: int = 4096,
     leaf_rows: int = 32,
@@ -150,6 +176,7 @@ def nearest(
     Queries are the rows whose vec_id is divisible by ``every``.  Every row is in the tree of its shard, and every
     shard is asked.  A leaf is left out if the distance that the triangle inequality leaves it, times ``factor``,
     is more than the k-th nearest found so far: with factor 1 the search is exact, larger ones leave out more.
+    Without one, a bounded sample decides (``tuned_factor``).
     Where vectors have no structure at all, distances hardly differ, and even large factors leave out little.
 
     Vectors that are null, zero or hold null or non-finite components, and rows without a vec_id, take no part.
@@ -157,8 +184,11 @@ def nearest(
     rows all are.  Scores are products of the original vectors in double precision, ties go to the smaller id.
     """
 
+    rows = vectors(embeddings, nonzero_vector)
+    if factor is None:
+        factor = tuned_factor(rows, k, leaf_rows)
+
     def search(docs: pa.Table, queries: pa.Table) -> pa.Table:
         return search_shard(docs, queries, k, factor, leaf_rows)
 
-    rows = vectors(embeddings, nonzero_vector)
     return search_grid(rows, rows.where(F.col("vec_id") % every == 0), search, k, "double", shard_rows, query_rows)
