@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logflow.operators.slices import SLICE_WIDTH, rank_by, running_since, running_totals
+from logflow.operators.slices import SLICE_WIDTH, cuts, rank_by, running_since, running_totals
 
 # Event types and their effect.
 OPENED, DEPOSITED, WITHDRAWN, INTEREST, CLOSED = "OPENED", "DEPOSITED", "WITHDRAWN", "INTEREST", "CLOSED"
@@ -67,9 +67,10 @@ def state_as_of(events: DataFrame, instant: Column, width: int = SLICE_WIDTH) ->
 def account_history(events: DataFrame, width: int = SLICE_WIDTH) -> DataFrame:
     """Every event with the version and balance it produced."""
     opened = F.col("type") == OPENED
-    numbered = rank_by(events, ["account_id"], ["seq"], "version", width)
+    cut = cuts(events, ["account_id"], "seq", width)
+    numbered = rank_by(events, ["account_id"], ["seq"], "version", width, cut)
     numbered = numbered.withColumn("version", F.col("version") + 1)
-    return running_since(numbered, ["account_id"], ["seq"], opened, {"balance": effect()}, width)
+    return running_since(numbered, ["account_id"], ["seq"], opened, {"balance": effect()}, width, cut)
 
 
 def snapshot(events: DataFrame, upto_seq: int, width: int = SLICE_WIDTH) -> DataFrame:

@@ -1,51 +1,149 @@
 """Ordered computations over groups of any size.
 
 ``sum(...) OVER (PARTITION BY key ORDER BY id)`` sorts a whole key in one task, so one hot key (or
-a log with four partitions) stops scaling.  The helpers here cut every group into slices of its
-order column, work inside slices in parallel and connect the slices with a prefix sum over their
-totals, which is ``width`` times smaller than the data.  Results equal the plain window.
+a log with four partitions) stops scaling.  The helpers here leave groups of up to ``width`` rows whole and cut
+larger ones into slices of their order column, work inside slices in parallel and connect the slices with a
+prefix sum over their totals.  Only large groups have totals, at most about one for every ``width`` / 64 rows,
+however many groups are interleaved.  Results equal the plain window.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Order-column span of one slice.  A unique id column bounds a slice to this many rows.
+from logflow.scratch import materialize
+
+#: Rows of a group that one task sorts: larger groups are cut into slices of about as many rows or less.
 SLICE_WIDTH = 1 << 16
 
 #: Rows of one group handled together by the look-back windows.
 BLOCK_ROWS = 1 << 15
 
+#: Ranges between quantiles of the order column that a large group is cut into before it is cut evenly.
+RANGES = 64
+
+#: Numbers of the slices inside one range lie below this.
+RANGE_SPAN = 1 << 40
+
 #: Rows without an order value sort first, as ascending order does.
 NULL_SLICE = -(1 << 62)
 
 
+def _ranges(order: Column, width: int) -> list[Column]:
+    """Aggregates of one large group: where its ranges start, and the step of the slices inside each.
+
+    Ranges hold about equal shares of the rows, wherever these lie; a range is cut evenly, so that a slice has
+    about ``width`` rows or less.
+    """
+    spots = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    inner = F.coalesce(F.percentile_approx(order, spots, F.lit(20 * RANGES)), F.array().cast("array<bigint>"))
+    parts = F.ceil(F.count("*") / F.lit(RANGES * width)).cast("double")
+    first, last = F.concat(F.array(F.min(order)), inner), F.concat(inner, F.array(F.max(order)))
+    steps = F.zip_with(
+        first, last, lambda a, b: F.greatest((b.cast("double") - a.cast("double")) / parts, F.lit(1.0))
+    )
+    return [first.alias("_firsts"), steps.alias("_steps")]
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """How the groups of a table are cut: ``table`` has the ranges of large groups (none: there are no large ones).
+
+    Without keys the table is one group, whose ranges are the literals ``firsts`` and ``steps``.
+    """
+
+    keys: list[str]
+    order: str
+    table: DataFrame | None = None
+    firsts: list[int] | None = None
+    steps: list[float] | None = None
+
+    @property
+    def any(self) -> bool:
+        return self.table is not None or self.firsts is not None
+
+    def apply(self, df: DataFrame, extra: list[Column]) -> DataFrame:
+        """Add ``_group``, ``_slice``, ``_large`` (the group is cut) and the ``extra`` columns."""
+        group = (F.struct(*self.keys) if self.keys else F.lit(0)).alias("_group")
+        rows = df.select("*", group, *extra)
+        if not self.any:
+            return rows.select("*", F.lit(0).cast("bigint").alias("_slice"), F.lit(False).alias("_large"))
+        if self.table is None:
+            firsts = F.array(*[F.lit(v) for v in self.firsts]).cast("array<bigint>")
+            steps = F.array(*[F.lit(v) for v in self.steps]).cast("array<double>")
+        else:
+            rows = rows.join(self.table, "_group", "left")
+            firsts, steps = F.col("_firsts"), F.col("_steps")
+        order = F.col(self.order).cast("bigint")
+        at = F.size(F.filter(firsts, lambda first: first <= order))
+        inside = (order.cast("double") - F.get(firsts, at - 1).cast("double")) / F.get(steps, at - 1)
+        piece = (
+            F.when(firsts.isNull(), F.lit(0))
+            .when(order.isNull(), F.lit(NULL_SLICE))
+            .otherwise(at.cast("bigint") * RANGE_SPAN + F.floor(inside))
+        )
+        cut = rows.select("*", piece.cast("bigint").alias("_slice"), firsts.isNotNull().alias("_large"))
+        return cut.drop("_firsts", "_steps")
+
+
+def cuts(df: DataFrame, keys: list[str], order: str, width: int = SLICE_WIDTH) -> Cuts:
+    """Find the groups of more than ``width`` rows and their quantiles; reads only keys and order column.
+
+    Rows are counted per key first (partial sums before the shuffle); quantiles are merged sketches of the large
+    groups alone.  The large groups, at most one for every ``width`` rows, are a table in the shared folder, which
+    Spark broadcasts below its own threshold and joins by shuffle beyond it.
+    """
+    at = F.col(order).cast("bigint").alias("_at")
+    if not keys:
+        row = df.select(at).agg(*_ranges(F.col("_at"), width)).first()
+        known = row["_firsts"][0] is not None
+        return Cuts(keys, order, None, row["_firsts"] if known else [0], row["_steps"] if known else [1.0])
+    rows = df.select(F.struct(*keys).alias("_group"), at)
+    large = materialize(
+        rows.groupBy("_group").agg(F.count("*").alias("_n")).where(F.col("_n") > width).select("_group"), "large"
+    )
+    if large.isEmpty():
+        return Cuts(keys, order)
+    ranges = rows.join(large, "_group", "left_semi").groupBy("_group").agg(*_ranges(F.col("_at"), width))
+    known = F.get("_firsts", F.lit(0)).isNotNull()
+    return Cuts(keys, order, materialize(ranges.where(known), "ranges"))
+
+
 def running_totals(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     sums: dict[str, Column],
     width: int = SLICE_WIDTH,
+    cut: Cuts | None = None,
 ) -> DataFrame:
     """Add inclusive running sums per ``keys`` in ``order``; ``lit(1)`` gives a 1-based dense rank.
 
     ``order[0]`` must be an integral column whose values spread the rows (an id, an offset, epoch
     seconds); the whole list must order rows uniquely.  Null keys form their own group, because the
     group travels as a struct.  Null values add nothing.  The big side is shuffled once, on (group, slice).
+    ``cut`` is how groups are cut, where that is known already.
     """
     group, piece = "_group", "_slice"
     local = {name: f"_local_{name}" for name in sums}
     start = {name: f"_start_{name}" for name in sums}
-    sliced = df.select(
-        "*",
-        (F.struct(*keys) if keys else F.lit(0)).alias(group),
-        F.coalesce(F.expr(f"`{order[0]}` div {width}"), F.lit(NULL_SLICE)).alias(piece),
-        *[expr.alias(local[name]) for name, expr in sums.items()],
+    cut = cut or cuts(df, keys, order[0], width)
+    sliced = cut.apply(df, [expr.alias(local[name]) for name, expr in sums.items()])
+    inside = (
+        Window.partitionBy(group, piece)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    ranked = sliced.withColumns({local[n]: F.sum(local[n]).over(inside) for n in sums})
+    if not cut.any:
+        return ranked.select(*df.columns, *[F.col(local[n]).alias(n) for n in sums])
     before = Window.partitionBy(group).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        sliced.groupBy(group, piece)
+        sliced.where("_large")
+        .groupBy(group, piece)
         .agg(*[F.sum(local[name]).alias(start[name]) for name in sums])
         .select(
             group,
@@ -53,13 +151,7 @@ def running_totals(
             *[F.sum(start[n]).over(before).alias(start[n]) for n in sums],
         )
     )
-    inside = (
-        Window.partitionBy(group, piece)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = sliced.withColumns({local[n]: F.sum(local[n]).over(inside) for n in sums})
-    return ranked.join(starts, [group, piece]).select(
+    return ranked.join(starts, [group, piece], "left").select(
         *df.columns, *[_added(F.col(local[n]), F.col(start[n])).alias(n) for n in sums]
     )
 
@@ -76,11 +168,12 @@ def running_since(
     restart: Column,
     sums: dict[str, Column],
     width: int = SLICE_WIDTH,
+    cut: Cuts | None = None,
 ) -> DataFrame:
     """Running sums that start over at every row where ``restart`` holds (that row included).
 
     A slice hands on what it summed since its last restart; a later slice adds it up to its own
-    first restart.  A null ``restart`` is none.
+    first restart.  A null ``restart`` is none.  ``cut`` is as in ``running_totals``.
     """
     group, piece, stretch = "_group", "_slice", "_stretch"
     local = {name: f"_local_{name}" for name in sums}
@@ -95,19 +188,17 @@ def running_since(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    sliced = (
-        df.select(
-            "*",
-            (F.struct(*keys) if keys else F.lit(0)).alias(group),
-            F.coalesce(F.expr(f"`{order[0]}` div {width}"), F.lit(NULL_SLICE)).alias(piece),
-            F.coalesce(restart, F.lit(False)).cast("bigint").alias("_restart"),
-            *[expr.alias(local[name]) for name, expr in sums.items()],
-        )
-        .withColumn(stretch, F.sum("_restart").over(inside))
-    )
+    cut = cut or cuts(df, keys, order[0], width)
+    since_start = F.coalesce(restart, F.lit(False)).cast("bigint").alias("_restart")
+    sliced = cut.apply(df, [since_start, *[expr.alias(local[name]) for name, expr in sums.items()]])
+    sliced = sliced.withColumn(stretch, F.sum("_restart").over(inside))
+    summed = sliced.withColumns({local[n]: F.sum(local[n]).over(since) for n in sums})
+    if not cut.any:
+        return summed.select(*df.columns, *[F.col(local[n]).alias(n) for n in sums])
     # What each slice hands on: its last stretch, which is all of it when nothing restarted.
     tails = (
-        sliced.groupBy(group, piece, stretch)
+        sliced.where("_large")
+        .groupBy(group, piece, stretch)
         .agg(*[F.sum(local[n]).alias(start[n]) for n in sums])
         .groupBy(group, piece)
         .agg(
@@ -127,9 +218,8 @@ def running_since(
         piece,
         *[F.lag(start[n]).over(by_slice).alias(start[n]) for n in sums],
     )
-    summed = sliced.withColumns({local[n]: F.sum(local[n]).over(since) for n in sums})
     carry = F.col(stretch) == 0
-    return summed.join(starts, [group, piece]).select(
+    return summed.join(starts, [group, piece], "left").select(
         *df.columns,
         *[_added(F.col(local[n]), F.when(carry, F.col(start[n]))).alias(n) for n in sums],
     )
@@ -150,10 +240,15 @@ def lookback_blocks(df: DataFrame, rank: str, lookback: int, block: int = BLOCK_
 
 
 def rank_by(
-    df: DataFrame, keys: list[str], order: list[str], out: str = "rank", width: int = SLICE_WIDTH
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    out: str = "rank",
+    width: int = SLICE_WIDTH,
+    cut: Cuts | None = None,
 ) -> DataFrame:
     """Dense 0-based rank per group."""
-    ranked = running_totals(df, keys, order, {out: F.lit(1).cast("bigint")}, width)
+    ranked = running_totals(df, keys, order, {out: F.lit(1).cast("bigint")}, width, cut)
     return ranked.withColumn(out, F.col(out) - 1)
 
 
@@ -197,7 +292,7 @@ def exact_quantiles(
         return whole.drop("_all")
     counts = rows.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     cumulative = running_totals(counts, keys, [value], {"_upto": F.col("_n")}, width)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_total"))
+    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     same = [cumulative[k].eqNullSafe(sizes[k]) for k in keys]
     joined = cumulative.join(sizes, same).select(
         *[cumulative[k] for k in keys], value, "_upto", "_total"

@@ -121,3 +121,38 @@ def test_one_key_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(per_task) > 1
     assert max(r["count"] for r in per_task) < 20_000 * 0.6
+
+
+def test_interleaved_keys_have_no_totals(spark):
+    """Many keys that take turns: none is large, so there is nothing to add up between slices."""
+    rows = spark.range(300_000).select((F.col("id") % 100_000).alias("k"), (F.col("id") * 1000).alias("id"))
+    cut = slices.cuts(rows, ["k"], "id")
+    assert not cut.any
+    got = slices.rank_by(rows, ["k"], ["id"], "r", cut=cut)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where(F.col("r") != F.expr("id div 100000000")).count() == 0
+
+
+def test_slices_of_a_large_key_hold_about_equal_rows(spark):
+    """Order values in dense and sparse stretches; the other keys stay whole."""
+    id_ = F.col("id")
+    spread = F.when(id_ < 20_000, id_).when(id_ < 21_000, id_ * 10_000_000_000).otherwise(id_ + (1 << 55))
+    rows = spark.range(60_000).select(F.when(id_ % 6 > 0, "hot").otherwise(F.concat(F.lit("k"), id_ % 600)).alias("k"), spread.alias("at"))
+    cut = slices.cuts(rows, ["k"], "at", 1000)
+    sizes = cut.apply(rows, []).groupBy("k", "_slice", "_large").count().toPandas()
+    assert set(sizes[sizes._large].k) == {"hot"} and sizes[~sizes._large].groupby("k").size().max() == 1
+    hot = sizes[sizes._large]["count"]
+    assert hot.sum() == 50_000 and hot.max() <= 1100 and len(hot) < 130
+    got = slices.rank_by(rows, ["k"], ["at"], "r", 1000, cut)
+    want = rows.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("at")) - 1)
+    assert rows_of(got) == rows_of(want)
+
+
+def test_no_rows_and_only_null_order(spark):
+    none = spark.createDataFrame([], "k STRING, id BIGINT")
+    for keys in (["k"], []):
+        assert slices.rank_by(none, keys, ["id"], "r", width=2).count() == 0
+    nulls = spark.createDataFrame([("a", None, n) for n in range(5)], "k STRING, id BIGINT, n INT")
+    for keys in (["k"], []):
+        got = slices.rank_by(nulls, keys, ["id", "n"], "r", width=2)
+        assert rows_of(got.select("n", "r")) == [(n, n) for n in range(5)]
