@@ -52,22 +52,26 @@ def union_versions(*versions: DataFrame) -> DataFrame:
 def observed_schemas(
     records: DataFrame, subject: str, version: str, value: str, enum_fields: list[str] | None = None
 ) -> DataFrame:
-    """The schema table of JSON records that carry a version number, found from the records.
+    """The schema table of JSON records that carry a version number, found from the records in one pass.
 
-    A field is required when every record of the version has a non-null value.  Enum fields list
-    their symbols (an enum's domain is small by definition).
+    A field is required when every record of the version has a non-null value.  Integers next to other numbers are
+    numbers; a field with values of several other types has all their names, in order and joined by ``|``.  Nested
+    values count as ``object`` or ``array``.  Enum fields list their symbols (an enum's domain is small by
+    definition).  Records that are no JSON object have no fields, so a version that has any requires none.
     """
     spark = records.sparkSession
     fields = records.select(
         F.col(subject).alias("subject"),
         F.col(version).cast("int").alias("version"),
         F.try_parse_json(F.col(value)).alias("_json"),
-    ).lateralJoin(spark.tvf.variant_explode(F.col("_json").outer()).toDF("_pos", "field", "_v"))
+    ).lateralJoin(spark.tvf.variant_explode_outer(F.col("_json").outer()).toDF("_pos", "field", "_v"))
     kind = F.schema_of_variant("_v")
     type_name = (
         F.when(kind == "VOID", F.lit(None))
         .when(kind == "BIGINT", "integer")
         .when((kind == "DOUBLE") | kind.startswith("DECIMAL"), "number")
+        .when(kind.startswith("OBJECT"), "object")
+        .when(kind.startswith("ARRAY"), "array")
         .otherwise(F.lower(kind))
     )
     symbol = F.when(F.col("field").isin(enum_fields or []), F.try_variant_get("_v", "$", "string"))
@@ -78,20 +82,24 @@ def observed_schemas(
         type_name.alias("type"),
         (kind != "VOID").alias("present"),
         symbol.alias("symbol"),
+        # Each record has exactly one row that is its first.
+        (F.coalesce("_pos", F.lit(0)) == 0).alias("first"),
     )
+    types = F.collect_set("type")
+    wide = F.when(F.array_contains("_types", "number"), F.array_remove("_types", "integer")).otherwise(F.col("_types"))
     counted = per_field.groupBy("subject", "version", "field").agg(
-        F.max("type").alias("type"),
+        types.alias("_types"),
         F.count_if("present").alias("_present"),
+        F.count_if("first").alias("_firsts"),
         F.array_join(F.array_sort(F.collect_set("symbol")), ",").alias("symbols"),
     )
-    totals = records.groupBy(
-        F.col(subject).alias("subject"), F.col(version).cast("int").alias("version")
-    ).agg(F.count("*").alias("_records"))
-    return counted.join(totals, ["subject", "version"]).select(
+    whole = Window.partitionBy("subject", "version")  # one row per field
+    sized = counted.withColumn("_records", F.sum("_firsts").over(whole)).where(F.col("field").isNotNull())
+    return sized.select(
         "subject",
         "version",
         "field",
-        "type",
+        F.when(F.size("_types") > 0, F.array_join(F.array_sort(wide), "|")).alias("type"),
         (F.col("_present") == F.col("_records")).alias("required"),
         "symbols",
         F.lit(None).cast("string").alias("alias_of"),

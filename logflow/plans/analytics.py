@@ -11,8 +11,9 @@ from logflow.operators import eventsourcing as es
 from logflow.operators import joins, metrics, routing, schemas, windows
 from logflow.operators.offsets import consumer_lag, lag_bands, lag_summary, lag_trend
 from logflow.operators.slices import running_totals
-from logflow.plans.base import at, event_records, events_log, query, table, with_log, with_rec
+from logflow.plans.base import at, event_records, events_log, query, staged, table, with_log, with_rec
 from logflow.plans.scans import BOUNDS, COMMITS, TOPICS, commits, events_bounds, topics_store
+from logflow.sinks.schemas import SchemaStore
 from logflow.sources.log import scan
 
 # --- joins ------------------------------------------------------------------------------------
@@ -648,10 +649,16 @@ def subject_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(customers)
 
 
-def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schemas.observed_schemas(
-        subject_records(spark, sf_dir), "subject", "version", "value", enum_fields=["status"]
-    )
+def schema_store(spark: SparkSession, sf_dir: str) -> SchemaStore:
+    """The versions seen in the records, registered once; they hold changes that no mode but ``none`` allows."""
+
+    def build(path: str) -> None:
+        found = schemas.observed_schemas(
+            subject_records(spark, sf_dir), "subject", "version", "value", enum_fields=["status"]
+        )
+        SchemaStore(spark, path).register(found, mode="none")
+
+    return SchemaStore(spark, staged(spark, sf_dir, "schema-store", build))
 
 
 SUBJECTS = """
@@ -674,7 +681,7 @@ schemas AS (
 
 @query("observed_schemas", f"WITH {SUBJECTS} SELECT * FROM schemas")
 def observed_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observed(spark, sf_dir).drop("alias_of")
+    return schema_store(spark, sf_dir).read().drop("alias_of")
 
 
 RULES_SQL = "rules(change, backward, forward, \"full\", \"none\") AS (VALUES " + ", ".join(
@@ -706,7 +713,7 @@ RULES_SQL = "rules(change, backward, forward, \"full\", \"none\") AS (VALUES " +
       "full", "none" FROM changes JOIN rules USING (change)""",
 )
 def compatibility_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schemas.compatibility_report(observed(spark, sf_dir))
+    return schemas.compatibility_report(schema_store(spark, sf_dir).read())
 
 
 @query(
@@ -717,7 +724,7 @@ def compatibility_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT DISTINCT 'customer-value', 1, '1' FROM customer""",
 )
 def subject_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schemas.subject_versions(observed(spark, sf_dir))
+    return schema_store(spark, sf_dir).versions()
 
 
 @query(

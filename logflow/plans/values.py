@@ -468,6 +468,46 @@ def typed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "typed_user_event",
+    """SELECT event_id, epoch_us(ts) // 1000 AS created_ms, epoch_us(ts) // 1000 // 86400000 AS day,
+    concat_ws(',', CASE WHEN event_id % 23 = 0 THEN 'userId_missing' END,
+      CASE WHEN event_type NOT IN ('signup', 'click', 'purchase', 'view') THEN 'eventType_unknown' END) AS errors,
+    event_type = 'view' AS is_logout,
+    CASE WHEN event_id % 3 <> 0 THEN event_type END AS kind,
+    CASE WHEN event_id % 3 <> 0 THEN 2 ELSE 0 END AS attribute_count FROM events""",
+)
+def typed_user_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User events written as JSON and read back typed; some have no user, some a type outside the enum."""
+    key, t = F.col("event_id"), F.col("event_type")
+    user = F.concat(F.lit("u-"), F.col("user_id"))
+    symbols = {"signup": "CREATED", "click": "LOGIN", "purchase": "UPDATED", "view": "LOGOUT"}
+    symbol = F.lit("OTHER")
+    for name, meaning in symbols.items():
+        symbol = F.when(t == name, meaning).otherwise(symbol)
+    value = payloads.json_value(
+        F.when(key % 23 != 0, user).alias("userId"),
+        F.concat(user, F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("User "), F.col("user_id")).alias("name"),
+        symbol.alias("eventType"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.when(key % 3 != 0, payloads.attributes(agent=user, kind=t)).alias("attributes"),
+    )
+    records = payloads.user_events(table(spark, sf_dir, "events").select("event_id", value.alias("value")))
+    required = ["userId", "email", "name", "eventType", "timestamp"]
+    codes = parsing.required_errors(required, {"eventType": payloads.USER_EVENT_TYPES})
+    created = F.unix_millis("timestamp")
+    return records.select(
+        "event_id",
+        created.alias("created_ms"),
+        F.expr("unix_millis(timestamp) div 86400000").alias("day"),
+        F.array_join(codes, ",").alias("errors"),
+        (F.col("eventType") == "LOGOUT").alias("is_logout"),
+        F.try_element_at("attributes", F.lit("kind")).alias("kind"),
+        F.coalesce(F.size(F.map_keys("attributes")), F.lit(0)).alias("attribute_count"),
+    )
+
+
 @query(
     "required_fields",
     """SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderkey % 19 = 0 THEN 'customerId_missing' END,

@@ -1,9 +1,14 @@
 """Schema evolution and compatibility verdicts."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from logflow.functions import parsing, payloads
 from logflow.functions.payloads import ORDER_V2
 from logflow.operators import schemas
+from logflow.sinks import schemas as schema_sink
+from logflow.sinks.schemas import SchemaStore
+from logflow.versions import VersionConflict
 
 
 def table(spark, rows):
@@ -93,3 +98,73 @@ def test_union_versions(spark):
     got = schemas.union_versions(one, two).orderBy("a")
     assert [tuple(r) for r in got.collect()] == [(1, None), (2, "x")]
     assert F.col is not None
+
+
+def test_mixed_types_are_named(spark):
+    rows = [("s", 1, v) for v in ('{"a":1,"b":1,"o":{"x":1}}', '{"a":"t","b":2.5,"o":{"y":"z"}}', '{"a":true,"b":3,"o":[1]}')]
+    df = spark.createDataFrame([*rows, ("s", 2, "{}"), ("s", 3, "no json"), ("s", 3, '{"a":null}')], "s STRING, v INT, j STRING")
+    found = schemas.observed_schemas(df, "s", "v", "j")
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan ") == 1
+    got = {(r.version, r.field): (r.type, r.required) for r in found.collect()}
+    assert got == {
+        (1, "a"): ("boolean|integer|string", True),
+        (1, "b"): ("number", True),
+        (1, "o"): ("array|object", True),
+        (3, "a"): (None, False),
+    }
+
+
+def test_schema_store(spark, tmp_path):
+    store = SchemaStore(spark, str(tmp_path / "schemas"))
+    assert store.read().count() == 0
+    one = [("s", 1, "id", "integer", True, None, None)]
+    two = [("s", 2, *f[2:]) for f in one] + [("s", 2, "note", "string", False, None, None)]
+    assert store.register(table(spark, one)) == 1
+    assert store.register(table(spark, one + two)) == 2
+    assert store.register(table(spark, two)) == 2, "nothing new"
+    assert [tuple(r) for r in store.versions().collect()] == [("s", 2, "1,2")]
+
+    with pytest.raises(schema_sink.IncompatibleSchema, match="other fields"):
+        store.register(table(spark, [("s", 1, "id", "string", True, None, None)]))
+    worse = [("s", 4, "id", "string", True, None, None)]
+    with pytest.raises(schema_sink.IncompatibleSchema, match="s 4: change field type id"):
+        store.register(table(spark, worse), "full")
+    assert store.read().count() == 3
+    assert store.register(table(spark, worse), "none") == 3
+    # Version 3 comes late: the step to version 4 is a change of its own.
+    late = [("s", 3, "id", "integer", True, None, None)]
+    with pytest.raises(schema_sink.IncompatibleSchema, match="s 4"):
+        store.register(table(spark, late))
+    with pytest.raises(ValueError, match="unknown"):
+        store.register(table(spark, late), "sideways")
+
+
+def test_two_registrations_at_once(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "schemas")
+    a, b = SchemaStore(spark, root), SchemaStore(spark, root)
+    seen = b._manifest.latest()
+    monkeypatch.setattr(b._manifest, "latest", lambda: seen)
+    a.register(table(spark, [("s", 1, "id", "integer", True, None, None)]))
+    with pytest.raises(VersionConflict):
+        b.register(table(spark, [("s", 1, "id", "string", True, None, None)]))
+    assert a.read().count() == 1
+
+
+def test_user_events_are_typed(spark):
+    rows = [
+        '{"userId":"u","email":"e","name":"n","eventType":"LOGOUT","timestamp":1700000000123,"attributes":{"a":"1"}}',
+        '{"userId":"u","email":"e","name":"n","eventType":"LEFT","timestamp":-1}',
+        "no json",
+        None,
+    ]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "i INT, value STRING")
+    required = ["userId", "email", "name", "eventType", "timestamp"]
+    codes = parsing.required_errors(required, {"eventType": payloads.USER_EVENT_TYPES})
+    got = payloads.user_events(df).select("i", F.unix_millis("timestamp").alias("at"), "attributes", codes.alias("errors"))
+    missing = [f"{f}_missing" for f in required]
+    assert [tuple(r) for r in got.orderBy("i").collect()] == [
+        (0, 1700000000123, {"a": "1"}, []),
+        (1, -1, None, ["eventType_unknown"]),
+        (2, None, None, missing),
+        (3, None, None, missing),
+    ]
