@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 import math
-from bisect import bisect_left
+import re
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
@@ -13,7 +15,8 @@ from pyspark.sql import DataFrame
 
 from logflow.session import ship_package
 
-#: Public license notices and short licenses, by name.
+# Public license notices and the operative parts of short licenses, by name.  What stands in braces tells
+# licenses apart (name, version, kind): a text must have those words one after another.
 TEMPLATES = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
         associated documentation files (the "Software"), to deal in the Software without restriction, including
@@ -22,28 +25,56 @@ TEMPLATES = {
         following conditions: The above copyright notice and this permission notice shall be included in all
         copies or substantial portions of the Software.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee
-        is hereby granted, provided that the above copyright notice and this permission notice appear in all
+        is hereby granted, {provided that the above copyright notice} and this permission notice appear in all
         copies.""",
     "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
         provided that the following conditions are met: Redistributions of source code must retain the above
         copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form
         must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
         documentation and/or other materials provided with the distribution.""",
-    "Apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: Redistributions of source code must retain the above
+        copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form
+        must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. {Neither the name} of the copyright
+        holder nor the names of its contributors may be used to endorse or promote products derived from this
+        software without specific prior written permission.""",
+    "Apache-2.0-header": """Licensed under the {Apache License, Version 2.0} (the "License"); you may not use this file
         except in compliance with the License. You may obtain a copy of the License at
         http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,
         software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
         CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
         permissions and limitations under the License.""",
-    "GPL-3.0-header": """This program is free software: you can redistribute it and/or modify it under the terms of the
-        GNU General Public License as published by the Free Software Foundation, either version 3 of the License,
-        or (at your option) any later version.""",
-    "MIT-notice": "Released under the MIT License.",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "MPL-2.0-header": """This Source Code Form is subject to the terms of the {Mozilla Public License, v. 2.0}. If a copy
+        of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "MIT-notice": "Released under the {MIT License}.",
+    "BSD-notice": "Released under the {BSD License}.",
+    "Apache-2.0-notice": "Licensed under the {Apache License, Version 2.0}.",
+    "MPL-2.0-notice": "Licensed under the {Mozilla Public License, Version 2.0}.",
 }
+FAMILY = {"GPL": "GNU General", "LGPL": "GNU Lesser General", "AGPL": "GNU Affero General"}
+VERSIONS = [("GPL", "2"), ("GPL", "3"), ("LGPL", "2.1"), ("LGPL", "3"), ("AGPL", "3")]
+for _kind, _version in VERSIONS:
+    _name = f"{_kind}-{_version if '.' in _version else _version + '.0'}"
+    TEMPLATES[f"{_name}-header"] = f"""This program is free software: you can redistribute it and/or modify it under the
+        terms of the {{{FAMILY[_kind]} Public License}} as published by the Free Software Foundation, either
+        {{version {_version}}} of the License, or (at your option) any later version."""
+    TEMPLATES[f"{_name}-notice"] = (
+        f"This work is licensed under the {{{FAMILY[_kind]} Public License, version {_version}}}."
+    )
+COMMONS = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+for _kind, _long in COMMONS.items():
+    TEMPLATES[f"CC-{_kind}-4.0-notice"] = f"Licensed under {{CC {_kind} 4.0}}."
+    TEMPLATES[f"CC-{_kind}-4.0-deed"] = (
+        f"This work is licensed under a {{Creative Commons {_long} 4.0}} International License."
+    )
 
 EDGES = "\"'`.,;:!?()[]{}<>*#%&$~_-/\\|«»“”‘’…"
 
@@ -55,6 +86,17 @@ def words_of(text: str | None) -> list[str]:
     return [w.strip(EDGES) for w in (text or "").lower().split()]
 
 
+def template_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """Words of a template and the stretches of them that stood in braces."""
+    words, fixed = [], []
+    for i, part in enumerate(re.split("[{}]", text)):
+        some = [w for w in words_of(part) if w]
+        if i % 2 and some:
+            fixed.append((len(words), len(words) + len(some)))
+        words += some
+    return words, fixed
+
+
 def longest_increasing(values: list[int]) -> list[int]:
     """Positions of a longest increasing subsequence of different values."""
     tails, ends, before = [], [], []
@@ -126,7 +168,9 @@ class Scanner:
     """Finds templates in texts; the words of all templates are numbered once."""
 
     def __init__(self, templates: Mapping[str, str], least: float, stretch: float) -> None:
-        self.templates = {name: [w for w in words_of(t) if w] for name, t in templates.items()}
+        self.templates, self.fixed = {}, {}
+        for name, t in templates.items():
+            self.templates[name], self.fixed[name] = template_of(t)
         vocabulary = sorted({w for t in self.templates.values() for w in t})
         self.number = {w: i for i, w in enumerate(vocabulary)}
         self.least, self.stretch = least, stretch
@@ -135,59 +179,108 @@ class Scanner:
             self.most[name] = np.bincount([self.number[w] for w in t], minlength=len(vocabulary) + 1)
             self.places[name] = {w: sum(1 << j for j, x in enumerate(t) if x == w) for w in t}
 
-    def best_window(self, words: list[str], name: str, bounds: np.ndarray, size: int):
-        """Pairs of the window that aligns best, of equal ones the first; None if none reaches ``least``.
+    def possible(self, ids: np.ndarray, name: str, size: int) -> np.ndarray:
+        """The starts of windows that hold all the template's fixed stretches."""
+        ok = np.ones(len(ids), bool)
+        for a, b in self.fixed[name]:
+            length = b - a
+            here = np.ones(max(0, len(ids) - length + 1), bool)
+            for k, word in enumerate(self.templates[name][a:b]):
+                here &= ids[k : k + len(here)] == self.number[word]
+            upto = np.concatenate([[0], np.cumsum(here)])
+            start = np.arange(len(ids))
+            end = np.clip(start + size - length + 1, 0, len(here))
+            ok &= upto[end] > upto[np.minimum(start, len(here))]
+        return ok
 
-        ``bounds`` is at least what a window can align.  Windows are aligned from the highest bound down until no
-        other one can be better.  The longest common subsequence is a second bound, which changes by at most one
-        from a window to its neighbour and so rules out windows on both sides as well.
+    def whole(self, pairs: list[tuple[int, int]], name: str) -> bool:
+        """Whether the fixed stretches are aligned to words that follow each other."""
+        at = {j: i for i, j in pairs}
+        return all(
+            a in at and all(at.get(j) == at[a] + j - a for j in range(a, b)) for a, b in self.fixed[name]
+        )
+
+    def find(self, words: list[str], ids: np.ndarray, name: str, size: int) -> Iterator[tuple[int, int, int]]:
+        """Matched words, first and last word of all places of a template, the best first, of equal ones the first.
+
+        A window is ``size`` words, or fewer before the next place found and at the end.  Windows wait in the order
+        of an upper bound: first shared words, then the longest common subsequence, then the alignment itself.  The
+        subsequence changes by at most one from a window to its neighbour, which rules out windows around as well.
         """
         template, places = self.templates[name], self.places[name]
-        target, best = math.ceil(self.least * len(template)), None
-        full, out = np.flatnonzero(bounds >= target), np.zeros(len(bounds), bool)
-        for start in full[np.argsort(-bounds[full], kind="stable")].tolist():
-            if best and (bounds[start], -start) <= best[:2]:
-                break
-            if out[start]:
+        target = math.ceil(self.least * len(template))
+        bounds = overlaps(np.concatenate([ids, np.full(size - 1, -1)]), self.most[name], size)
+        full = np.flatnonzero((bounds >= target) & self.possible(ids, name, size))
+        waiting = [(-int(bounds[s]), int(s), 0, 0, ()) for s in full]
+        heapq.heapify(waiting)
+        out, firsts, lasts = np.zeros(len(words), bool), [], []
+        while waiting:
+            value, start, state, seen_end, pairs = heapq.heappop(waiting)
+            after = bisect_right(firsts, start)
+            if out[start] or after and lasts[after - 1] >= start:
                 continue
-            window = words[start : start + size]
-            short = target - common_length(window, places, len(template))
-            if short > 0:
-                out[max(0, start - short + 1) : start + short] = True
+            end = min(start + size, len(words), *firsts[after : after + 1])
+            if state == 2 and seen_end == end:
+                first, last = start + pairs[0][0], start + pairs[-1][0]
+                insort(firsts, first)
+                insort(lasts, last)
+                yield -value, first, last
                 continue
+            window = words[start:end]
+            if state == 0 or seen_end != end:
+                length = common_length(window, places, len(template)) if len(window) >= target else len(window)
+                if short := max(0, target - length):
+                    out[max(0, start - short + 1) : min(start + short, end)] = True
+                    continue
+                if length < -value:
+                    heapq.heappush(waiting, (-length, start, 1, end, ()))
+                    continue
             pairs = align(window, template)
-            found = (len(pairs), -start, pairs)
-            if len(pairs) >= target and (best is None or found[:2] > best[:2]):
-                target, best = len(pairs), found
-        return best
+            if len(pairs) >= target and self.whole(pairs, name):
+                heapq.heappush(waiting, (-len(pairs), start, 2, end, pairs))
 
     def scan(self, text: str | None) -> Iterator[tuple[str, float, int, int, int, int]]:
-        """Name, coverage, matched words, template words, first and last word of each template found."""
+        """Name, coverage, matched words, template words, first and last word of each place, in order of place.
+
+        Of places that overlap the one with most matched words stays, of equal ones that of greater coverage, then
+        the first, then the one whose name sorts first.
+        """
         words = words_of(text)
         ids = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
+        found = []
         for name, template in self.templates.items():
             need = self.least * len(template)
             hits = self.most[name][ids] > 0
             if not len(words) or hits.sum() < need:
                 continue
-            size = min(len(words), int(len(template) * self.stretch) + 2)
+            size = int(len(template) * self.stretch) + 2
             sums = np.concatenate([[0], np.cumsum(hits)])
-            if (sums[size:] - sums[:-size]).max() < need:
+            width = min(size, len(words))
+            if (sums[width:] - sums[:-width]).max() < need:
+                continue
+            for n, first, last in self.find(words, ids, name, size):
+                found.append((-n, -n / len(template), first, name, last))
+        firsts, lasts, kept = [], [], []
+        for minus, share, first, name, last in sorted(found):
+            before = bisect_right(firsts, last)
+            if before and lasts[before - 1] >= first:
                 continue
-            best = self.best_window(words, name, overlaps(ids, self.most[name], size), size)
-            if best:
-                n, start, pairs = best[0], -best[1], best[2]
-                yield name, n / len(template), n, len(template), start + pairs[0][0], start + pairs[-1][0]
+            insort(firsts, first)
+            insort(lasts, last)
+            kept.append((name, -share, -minus, len(self.templates[name]), first, last))
+        yield from sorted(kept, key=lambda place: place[4])
 
 
 def scan_licenses(
     documents: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.8, stretch: float = 1.5
 ) -> DataFrame:
-    """One row for each document and template of which at least ``least`` of the words align: SCAN's columns.
+    """One row for each place of a document where at least ``least`` of a template's words align: SCAN's columns.
 
-    A template is looked for in all windows of ``stretch`` times its length (and two words); only windows that
-    cannot reach ``least`` or be better than another are not aligned.  The best window counts, of equal ones the first.
-    Words are compared in lower case without the punctuation around them.
+    A template is looked for in all windows of ``stretch`` times its length (and two words).  The words that it has in
+    braces must all be there, one after another.  Of one template's windows the best gives a place, of equal ones the
+    first; then the words outside it are searched again, so that repeated notices give a place each.  Where several
+    templates claim overlapping places, the one with most matched words keeps it.  Words are compared in lower case
+    without the punctuation around them.
 
     Null and empty texts have no rows; repeated documents have repeated rows; other columns are ignored.  The
     templates are a small fixed set and go to every task.

@@ -142,32 +142,75 @@ def test_scan_is_the_best_of_all_windows():
     text = "Released under the MIT License. This notice is under the License or under the License. The License, under the terms of the License."
     found = list(licenses.Scanner(licenses.TEMPLATES, 0.8, 1.5).scan(text))
     assert [(f[0], f[1], f[4], f[5]) for f in found] == [("MIT-notice", 1.0, 0, 4)]
-    rng, some = random.Random(9), 0
-    templates = {"five": "a b c d e", "twelve": "a b a c d e a b f g h a", "one": "q"}
+    rng, some, several = random.Random(9), 0, 0
+    templates = {"five": "a b c d e", "fixed": "x y {z q} x", "twelve": "a b a c d e a b f g h a", "one": "q"}
     scanner = licenses.Scanner(templates, 0.8, 1.5)
     for _ in range(400):
         words = [rng.choice("aabbcdefgh" + "xyzq" * rng.randrange(2)) for _ in range(rng.randrange(60))]
-        at = rng.randrange(len(words) + 1)
-        text = " ".join(words[:at] + rng.choice([[], "a b c d e".split(), templates["twelve"].split()[1:]]) + words[at:])
-        words, want = text.split(), []
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(words) + 1)
+            parts = ["a b c d e".split(), "x y z q x".split(), "x y z a q x".split(), "a b a c d e a b f g h".split()]
+            words[at:at] = rng.choice(parts)
+        claims = []
         for name, t in templates.items():
-            t = t.split()
-            size, best = min(len(words), int(len(t) * 1.5) + 2), None
-            ids, most = np.array([t.index(w) if w in t else -1 for w in words], np.int64), np.zeros(len(t) + 1, np.int64)
-            for w in t:
-                most[t.index(w)] += 1
-            bounds = licenses.overlaps(ids, most, size) if words else []
-            for s in range(len(words) - size + 1 if words else 0):
-                window = words[s : s + size]
-                assert bounds[s] == sum(min(window.count(w), t.count(w)) for w in set(t))
-                pairs = licenses.align(window, t)
-                if len(pairs) >= 0.8 * len(t) and (best is None or len(pairs) > best[1]):
-                    best = (name, len(pairs), len(t), s + pairs[0][0], s + pairs[-1][0])
-            want += [best] if best else []
-        got = [(f[0], *f[2:]) for f in scanner.scan(text)]
-        assert got == want
+            t, need = t.replace("{", "").replace("}", "").split(), t.split("}")[0].split("{")[1:]
+            free = [(0, len(words))]
+            while free:
+                a, b = free.pop()
+                best = None
+                for s in range(a, b):
+                    window = words[s : min(b, s + int(len(t) * 1.5) + 2)]
+                    pairs = licenses.align(window, t)
+                    at = {j: i for i, j in pairs}
+                    whole = not need or (2 in at and at.get(3) == at[2] + 1)
+                    if len(pairs) >= 0.8 * len(t) and whole and (best is None or len(pairs) > best[0]):
+                        best = (len(pairs), s + pairs[0][0], s + pairs[-1][0])
+                if best:
+                    claims.append((-best[0], -best[0] / len(t), best[1], name, best[2], len(t)))
+                    free += [(a, best[1]), (best[2] + 1, b)]
+        want = []
+        for n, _, first, name, last, length in sorted(claims):
+            if all(last < w[3] or first > w[4] for w in want):
+                want.append((name, -n, length, first, last))
+        got = [(f[0], *f[2:]) for f in scanner.scan(" ".join(words))]
+        assert got == sorted(want, key=lambda w: w[3])
         some += len(want)
-    assert some > 200
+        several += len(want) > len({w[0] for w in want})
+    assert some > 200 and several > 20
+
+
+@pytest.mark.parametrize(
+    "text,names",
+    [
+        ("Released under the BSD License.", ["BSD-notice"]),
+        ("Released under the Apache License.", []),
+        ("Licensed under the Mozilla License, Version 2.0.", []),
+        ("Licensed under CC BY 4.0.", ["CC-BY-4.0-notice"]),
+        ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0-notice"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0-notice"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.1.", ["LGPL-2.1-notice"]),
+        ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0-notice"]),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0-deed"]),
+        (" and ".join(["Released under the MIT License."] * 3), ["MIT-notice"] * 3),
+        ("Released under the MIT License. " * 500, ["MIT-notice"] * 500),
+        (licenses.TEMPLATES["BSD-3-Clause"].replace("{", "").replace("}", ""), ["BSD-3-Clause"]),
+        (licenses.TEMPLATES["BSD-2-Clause"], ["BSD-2-Clause"]),
+        (licenses.TEMPLATES["Apache-2.0-header"], ["Apache-2.0-header"]),
+        (licenses.TEMPLATES["MIT"] + " Released under the MIT License. " + licenses.TEMPLATES["ISC"], ["MIT", "MIT-notice", "ISC"]),
+        ("", []),
+        (None, []),
+    ],
+)
+def test_license_names(text, names):
+    assert [f[0] for f in licenses.Scanner(licenses.TEMPLATES, 0.8, 1.5).scan(text)] == names
+
+
+def test_every_template_is_found_as_itself(spark):
+    rows = [(i, t.replace("{", "").replace("}", ""), name) for i, (name, t) in enumerate(licenses.TEMPLATES.items())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    got = {r.doc_id: (r.license, r.coverage) for r in licenses.scan_licenses(frame).collect()}
+    assert got == {i: (name, 1.0) for i, _, name in rows}
+    assert licenses.scan_licenses(frame.limit(0)).count() == 0
 
 
 def test_mix(docs, rows):
