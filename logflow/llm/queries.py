@@ -58,9 +58,6 @@ def op7_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"))
 
 
-_WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
-
-
 @query("op4_mix")
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
@@ -82,13 +79,53 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives).select(*columns)
 
 
-@query("op8_near_duplicates")
+@query(
+    "op8_near_duplicates",
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws
+        ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM w),
+    hashed AS (SELECT doc_id, sh, len(sh) AS n, md5(array_to_string(list_sort(sh), chr(10))) AS c FROM s WHERE len(sh) > 0),
+    sets AS (SELECT c, any_value(sh) AS sh, any_value(n) AS n, min(doc_id) AS least FROM hashed GROUP BY c),
+    items AS (SELECT c, n, unnest(sh) AS x FROM sets),
+    counted AS (SELECT *, count(*) OVER (PARTITION BY x) AS f FROM items),
+    rare AS (SELECT c, n, x FROM counted
+      QUALIFY row_number() OVER (PARTITION BY c ORDER BY f, x) <= n - (4 * n + 4) // 5 + 1),
+    pairs AS (SELECT DISTINCT a.c AS a, b.c AS b FROM rare a JOIN rare b ON a.x = b.x AND a.c < b.c
+      AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
+    shared AS (SELECT p.a, p.b, len(list_intersect(l.sh, r.sh)) AS i, l.n + r.n AS n
+      FROM pairs p JOIN sets l ON l.c = p.a JOIN sets r ON r.c = p.b),
+    links AS (SELECT a, b FROM shared WHERE 100 * i >= 80 * (n - i) UNION ALL SELECT b, a FROM shared WHERE 100 * i >= 80 * (n - i)),
+    reach(c, other) AS (SELECT c, c FROM sets UNION SELECT r.c, l.b FROM reach r JOIN links l ON l.a = r.other),
+    found AS (SELECT r.c, min(s.least) AS component_id FROM reach r JOIN sets s ON s.c = r.other GROUP BY r.c)
+    SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, coalesce(f.component_id, s.doc_id) AS component_id,
+      coalesce(f.component_id, s.doc_id) = s.doc_id AS kept
+    FROM s LEFT JOIN hashed h ON h.doc_id = s.doc_id LEFT JOIN found f ON f.c = h.c
+    """,
+)
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on two-word shingles."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
-@query("op5_repeated_passages")
+@query(
+    "op5_repeated_passages",
+    r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w),
+    windows AS (SELECT doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) AS h FROM starts),
+    firsts AS (SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h),
+    repeated AS (SELECT doc_id, i FROM windows JOIN firsts USING (h) WHERE first_id < doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM repeated),
+    words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+    kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+      FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+      sha256(coalesce(text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+    """,
+)
 def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that every document loses to passages of earlier ones."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
