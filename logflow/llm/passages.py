@@ -4,6 +4,10 @@ Content decides where windows are compared: the k-word phrase with the smallest
 anchor) is the same wherever the window occurs.  Neighbouring windows with one anchor form a segment, so a
 document has one segment for some twenty windows, and copies of a segment are settled by one hash.  Only
 segments that differ around one anchor are compared window by window, and each text of them only once.
+
+A segment that a document holds several times is one row with all its starts.  Its first document goes to one row
+for each chunk that has it, and from there to the places within the chunk, so that the places of a common segment
+never meet in one task.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +30,7 @@ from logflow.session import ship_package
 #: Text bytes of the documents that one task holds at a time.
 CHUNK_BYTES = 8 << 20
 
-SEGMENTS = "anchor long, seg_a long, seg_b long, chunk long, rid long, doc_id long, start int, windows int"
+SEGMENTS = "anchor long, seg_a long, seg_b long, windows int, chunk long, rid long, doc_id long, starts array<int>"
 WINDOWS = "win_a long, win_b long, chunk long, rid long, doc_id long, start int"
 
 
@@ -93,6 +98,16 @@ def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def places_by_row(spans: pa.Table) -> dict[int, np.ndarray]:
+    """For each rid, the start and the number of windows of each of its spans, in order."""
+    counts = pc.list_value_length(spans["starts"]).to_numpy()
+    rids, windows = (np.repeat(spans[c].to_numpy(), counts) for c in ("rid", "windows"))
+    places = np.column_stack((pc.list_flatten(spans["starts"]).to_numpy(), windows))
+    order = np.lexsort((places[:, 0], rids))
+    ids, first = np.unique(rids[order], return_index=True)
+    return dict(zip(ids.tolist(), np.split(places[order], first[1:]), strict=False))
+
+
 def remove_repeats(documents: DataFrame, window: int = 50, phrase: int = 8) -> DataFrame:
     """Documents without the words of repeated windows, with ``n_words, n_removed, kept_sha256``.
 
@@ -145,33 +160,36 @@ def remove_repeats(documents: DataFrame, window: int = 50, phrase: int = 8) -> D
             return segments_schema.empty_table()
         anchor, seg_a, seg_b, start, windows = (np.concatenate(c) for c in zip(*out, strict=True))
         own = [docs[c].take(pa.array(np.concatenate(rows))) for c in ("chunk", "rid", "doc_id")]
-        ends = [pa.array(c.astype(np.int32)) for c in (start, windows)]
-        return pa.table([*map(_longs, (anchor, seg_a, seg_b)), *own, *ends], schema=segments_schema)
+        start, windows = (pa.array(c.astype(np.int32)) for c in (start, windows))
+        keys = segments_schema.names[:-1]
+        places = pa.table([*map(_longs, (anchor, seg_a, seg_b)), windows, *own, start], names=[*keys, "start"])
+        places = places.group_by(keys, use_threads=False).aggregate([("start", "list")])
+        return places.select([*keys, "start_list"]).rename_columns(segments_schema.names)
 
     segments_schema = pa.schema(
         [(c, pa.int64()) for c in ("anchor", "seg_a", "seg_b")]
-        + [("chunk", pa.int64()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())]
+        + [("windows", pa.int32()), ("chunk", pa.int64()), ("rid", pa.int64()), ("doc_id", pa.int64())]
+        + [("starts", pa.list_(pa.int32()))]
     )
     segments = usable.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(segments_of, SEGMENTS)
     segments = materialize(segments, "segments")
 
     distinct = segments.groupBy("seg_a", "seg_b").agg(F.min("doc_id").alias("first"), F.first("anchor").alias("of"))
     several = distinct.groupBy("of").agg(F.count("*").alias("n")).where("n > 1").select(F.col("of").alias("anchor"))
-    judged = segments.join(distinct.drop("of"), ["seg_a", "seg_b"])
-    judged = judged.select("anchor", "chunk", "rid", "doc_id", "start", "windows", "first")
+    in_chunks = segments.select("chunk", "seg_a", "seg_b").distinct()
+    firsts = in_chunks.join(distinct.drop("of"), ["seg_a", "seg_b"])
+    judged = segments.join(firsts, ["chunk", "seg_a", "seg_b"])
+    judged = judged.select("anchor", "chunk", "rid", "doc_id", "starts", "windows", "first")
     judged = materialize(judged, "judged")
-    whole = judged.where("first < doc_id").select("chunk", "rid", "start", "windows")
-    open_segments = judged.where("first = doc_id").join(several, "anchor").select("chunk", "rid", "start", "windows")
+    whole = judged.where("first < doc_id").select("chunk", "rid", "starts", "windows")
+    open_segments = judged.where("first = doc_id").join(several, "anchor").select("chunk", "rid", "starts", "windows")
 
     def windows_in(docs: pa.Table, segments: pa.Table) -> pa.Table:
-        by_row: dict[int, list[tuple[int, int]]] = {}
-        for rid, start, windows in zip(*(segments[c].to_pylist() for c in ("rid", "start", "windows")), strict=True):
-            by_row.setdefault(rid, []).append((start, windows))
-        out, rows = [], []
+        by_row, out, rows = places_by_row(segments), [], []
         for i, (rid, text) in enumerate(zip(docs["rid"].to_pylist(), docs["text"], strict=True)):
             if rid in by_row:
                 a = Anchors(text_words(text.as_py()), window, phrase)
-                at = np.concatenate([np.arange(s, s + n) for s, n in sorted(by_row[rid])])
+                at = np.concatenate([np.arange(s, s + n) for s, n in by_row[rid].tolist()])
                 out.append((*a.wide(at, at + window), at))
                 rows.append(np.full(len(at), i))
         if not out:
@@ -188,7 +206,7 @@ def remove_repeats(documents: DataFrame, window: int = 50, phrase: int = 8) -> D
     singles = materialize(singles, "windows")
     low = singles.groupBy("win_a", "win_b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     again = singles.join(low.where("first < last"), ["win_a", "win_b"]).where("first < doc_id")
-    again = again.select("chunk", "rid", "start", F.lit(1).alias("windows"))
+    again = again.select("chunk", "rid", F.array("start").alias("starts"), F.lit(1).alias("windows"))
 
     schema = T.StructType(
         [*documents.schema, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
@@ -197,10 +215,7 @@ def remove_repeats(documents: DataFrame, window: int = 50, phrase: int = 8) -> D
     columns = documents.columns
 
     def kept(docs: pa.Table, spans: pa.Table) -> pa.Table:
-        by_row: dict[int, list[tuple[int, int]]] = {}
-        for rid, start, windows in zip(*(spans[c].to_pylist() for c in ("rid", "start", "windows")), strict=True):
-            by_row.setdefault(rid, []).append((start, start + windows - 1 + window))
-        rows = pa.Table.from_struct_array(docs["row"])
+        by_row, rows = places_by_row(spans), pa.Table.from_struct_array(docs["row"])
         new, sizes, removed, digests = [], [], [], []
         for rid, text in zip(docs["rid"].to_pylist(), rows["text"], strict=True):
             text = text.as_py()
@@ -208,9 +223,9 @@ def remove_repeats(documents: DataFrame, window: int = 50, phrase: int = 8) -> D
             sizes.append(len(words))
             if rid in by_row:
                 change = np.zeros(len(words) + 1, np.int64)
-                spans_of = np.array(by_row[rid])
-                np.add.at(change, spans_of[:, 0], 1)
-                np.add.at(change, spans_of[:, 1], -1)
+                starts, windows = by_row[rid].T
+                np.add.at(change, starts, 1)
+                np.add.at(change, starts + windows - 1 + window, -1)
                 stays = np.cumsum(change)[:-1] == 0
                 words = [w for w, stay in zip(words, stays.tolist(), strict=True) if stay]
                 text = b" ".join(words).decode("utf-8", "surrogatepass")
